@@ -1,4 +1,4 @@
-from shopledger.operators.incremental import changed_since, extract_summary
+from shopledger.operators.incremental import changed_since, extract_manifest, extract_summary
 from shopledger.operators.latest import latest_by_key, upsert_by_key
 from shopledger.operators.paging import ordered_page
 from shopledger.operators.skew import SkewPolicy, hot_keys, input_bytes, skew_join
@@ -6,6 +6,7 @@ from shopledger.operators.skew import SkewPolicy, hot_keys, input_bytes, skew_jo
 __all__ = [
     "SkewPolicy",
     "changed_since",
+    "extract_manifest",
     "extract_summary",
     "hot_keys",
     "input_bytes",

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopledger.schemas import EPOCH_WATERMARK
@@ -45,3 +47,22 @@ def extract_summary(changed: DataFrame, source: str, watermark: str | datetime)
         before.alias("watermark_before"),
         F.greatest(F.col("_newest"), before).alias("watermark_after"),
     )
+
+
+def extract_manifest(
+    sources: Mapping[str, DataFrame],
+    watermarks: Mapping[str, str | datetime],
+    *,
+    run_id: str,
+) -> DataFrame:
+    """One row per source for a run, with the total of its rows. A source
+    without a watermark is read from the beginning."""
+    summaries = []
+    for name, df in sources.items():
+        mark = watermarks.get(name, EPOCH_WATERMARK)
+        summaries.append(extract_summary(changed_since(df, mark), name, mark))
+    # The window spans one row per source.
+    total = F.sum("rows").over(Window.partitionBy(F.lit(run_id)))
+    return reduce(DataFrame.unionByName, summaries).select(
+        F.lit(run_id).alias("run_id"), "*", total.alias("total_rows")
+    )
