@@ -20,7 +20,7 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return (
         df.groupBy(*keys)
         .agg(F.max(F.struct(*payload)).alias("_latest"))
-        .select(*(c if c in keys else F.col("_latest").getField(c).alias(c) for c in df.columns))
+        .select(*(c if c in keys else f"_latest.{c}" for c in df.columns))
     )
 
 

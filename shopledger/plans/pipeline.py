@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shopledger.operators import SkewPolicy, changed_since
 from shopledger.plans import marts, quality, runs
@@ -15,10 +16,7 @@ from shopledger.plans.warehouse import (
     DIMENSIONS,
     FACTS,
     Warehouse,
-    build_dimensions,
-    fact_campaign_events,
-    fact_sales,
-    find_hot_keys,
+    build_warehouse,
     load_assertions,
     require_loaded,
 )
@@ -44,8 +42,10 @@ def new_run_id() -> str:
 
 
 def watermarks(spark: SparkSession, lake: Lake) -> dict[str, datetime]:
-    """Current watermark of each source; at most one row per source."""
-    log = store.read_log(spark, lake, "watermarks", WATERMARK_SCHEMA)
+    """Current watermark of each source; at most one row per source. Each source
+    logs to its own partition folder."""
+    schema = T.StructType([*WATERMARK_SCHEMA.fields, T.StructField("source", T.StringType())])
+    log = store.read_log(spark, lake, "watermarks", schema)
     rows = log.groupBy("source").agg(F.max("watermark").alias("watermark")).collect()
     return {row["source"]: row["watermark"].astimezone(timezone.utc) for row in rows}
 
@@ -75,8 +75,8 @@ def extract_source(
         store.append_log(
             spark,
             lake,
-            "watermarks",
-            [{"source": source, "watermark": after, "run_id": run_id}],
+            f"watermarks/source={source}",
+            [{"watermark": after, "run_id": run_id}],
             WATERMARK_SCHEMA,
         )
     return {
@@ -177,14 +177,11 @@ def load(
     """Build the star schema in the staging slot, assert on what was written,
     then publish it and record the run."""
     slot = store.staging_slot(spark, lake, "warehouse")
-    hot = find_hot_keys(silver, policy)
-    # Rows of a file are put in date order: row groups then carry narrow date
-    # ranges, and a date filter skips most of them.
-    objects = {
-        **build_dimensions(silver),
-        "fact_sales": fact_sales(silver, hot).sortWithinPartitions("date_key"),
-        "fact_campaign_events": fact_campaign_events(silver, hot).sortWithinPartitions("date_key"),
-    }
+    objects = build_warehouse(silver, policy)
+    for fact in FACTS:
+        # Rows of a file are put in date order: row groups then carry narrow
+        # date ranges, and a date filter skips most of them.
+        objects[fact] = objects[fact].sortWithinPartitions("date_key")
     store.in_parallel(
         spark,
         lambda name: store.write_table(objects[name], lake.warehouse(slot, name)),

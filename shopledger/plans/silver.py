@@ -15,7 +15,7 @@ from shopledger.functions import hash_email, mask_phone, money, normalise_text
 from shopledger.operators import latest_by_key
 from shopledger.schemas import PRIMARY_KEYS, SOURCES
 
-Silver = dict[str, DataFrame]
+Silver = Mapping[str, DataFrame]
 
 
 def _time(column: str) -> Column:
@@ -109,7 +109,7 @@ def silver_table(name: str, bronze: DataFrame, *, salt: str) -> DataFrame:
     return with_line_amount(current) if name == "order_items" else current
 
 
-def build_silver(bronze: Mapping[str, DataFrame], *, salt: str) -> Silver:
+def build_silver(bronze: Mapping[str, DataFrame], *, salt: str) -> dict[str, DataFrame]:
     return {name: silver_table(name, bronze[name], salt=salt) for name in SOURCES}
 
 

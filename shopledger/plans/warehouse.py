@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from shopledger.schemas import AMOUNT_TOLERANCE
 DIMENSIONS = ("dim_customer", "dim_product", "dim_date", "dim_channel")
 FACTS = ("fact_sales", "fact_campaign_events")
 
-Warehouse = dict[str, DataFrame]
+Warehouse = Mapping[str, DataFrame]
 
 
 class WarehouseLoadError(RuntimeError):
@@ -80,28 +80,7 @@ def dim_channel(events: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class HotKeys:
-    """Keys to split in the fact joins; None where a join needs no splitting."""
-
-    item_products: DataFrame | None = None
-    item_orders: DataFrame | None = None
-    payment_orders: DataFrame | None = None
-    order_customers: DataFrame | None = None
-    event_customers: DataFrame | None = None
-
-
-def find_hot_keys(silver: Silver, policy: SkewPolicy) -> HotKeys:
-    return HotKeys(
-        item_products=hot_keys(silver["order_items"], "product_id", policy),
-        item_orders=hot_keys(silver["order_items"], "order_id", policy),
-        payment_orders=hot_keys(silver["payments"], "order_id", policy),
-        order_customers=hot_keys(silver["orders"], "customer_id", policy),
-        event_customers=hot_keys(silver["campaign_events"], "customer_id", policy),
-    )
-
-
-def fact_sales(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
+def fact_sales(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """One row per order item with its order, payment and dimension keys.
 
     All joins are inner. The customer join runs at order grain, before the
@@ -126,33 +105,34 @@ def fact_sales(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
         orders,
         customer_keys,
         "customer_id",
-        left_hot=hot.order_customers,
+        left_hot=hot_keys(silver["orders"], "customer_id", policy),
         left_id="order_id",
     ).drop("customer_id")
     payments = silver["payments"].select(
         "order_id", "payment_id", "payment_method", "payment_timestamp"
     )
+    payment_orders = hot_keys(silver["payments"], "order_id", policy)
     paid_orders = skew_join(
         payments,
         orders,
         "order_id",
-        left_hot=hot.payment_orders,
+        left_hot=payment_orders,
         left_id="payment_id",
     )
     items = skew_join(
         silver["order_items"].drop("updated_at"),
         product_keys,
         "product_id",
-        left_hot=hot.item_products,
+        left_hot=hot_keys(silver["order_items"], "product_id", policy),
         left_id="order_item_id",
     )
     return skew_join(
         items,
         paid_orders,
         "order_id",
-        left_hot=hot.item_orders,
+        left_hot=hot_keys(silver["order_items"], "order_id", policy),
         left_id="order_item_id",
-        right_hot=hot.payment_orders,
+        right_hot=payment_orders,
         right_id="payment_id",
     ).select(
         F.col("order_item_id").alias("sales_key"),
@@ -171,7 +151,7 @@ def fact_sales(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
     )
 
 
-def fact_campaign_events(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
+def fact_campaign_events(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     """One row per event of a known customer. Channel and date keys are derived
     in place: both dimensions are made from these same events."""
     events = silver["campaign_events"].where(
@@ -184,7 +164,7 @@ def fact_campaign_events(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
         events,
         customer_keys,
         "customer_id",
-        left_hot=hot.event_customers,
+        left_hot=hot_keys(silver["campaign_events"], "customer_id", policy),
         left_id="event_id",
     ).select(
         F.col("event_id").alias("campaign_event_key"),
@@ -199,7 +179,7 @@ def fact_campaign_events(silver: Silver, hot: HotKeys = HotKeys()) -> DataFrame:
     )
 
 
-def build_dimensions(silver: Silver) -> Warehouse:
+def build_dimensions(silver: Silver) -> dict[str, DataFrame]:
     return {
         "dim_customer": dim_customer(silver["customers"]),
         "dim_product": dim_product(silver["products"]),
@@ -208,12 +188,11 @@ def build_dimensions(silver: Silver) -> Warehouse:
     }
 
 
-def build_warehouse(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> Warehouse:
-    hot = find_hot_keys(silver, policy)
+def build_warehouse(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> dict[str, DataFrame]:
     return {
         **build_dimensions(silver),
-        "fact_sales": fact_sales(silver, hot),
-        "fact_campaign_events": fact_campaign_events(silver, hot),
+        "fact_sales": fact_sales(silver, policy),
+        "fact_campaign_events": fact_campaign_events(silver, policy),
     }
 
 

@@ -139,7 +139,7 @@ LEDGER_SCHEMA = _schema(
     fact_campaign_rows=T.LongType(),
     status=_TEXT,
 )
-WATERMARK_SCHEMA = _schema(source=_TEXT, watermark=_TIME, run_id=_TEXT)
+WATERMARK_SCHEMA = _schema(watermark=_TIME, run_id=_TEXT)
 QUALITY_LOG_SCHEMA = _schema(
     run_id=_TEXT,
     checked_at=_TIME,

@@ -164,6 +164,8 @@ def read_log(spark: SparkSession, lake: Lake, name: str, schema: T.StructType) -
 
 
 def append_log(spark: SparkSession, lake: Lake, name: str, rows: list[dict], schema: T.StructType) -> None:
+    """Append rows to a log. Jobs that run at the same time must not append to
+    the same folder: they would share its temporary files."""
     values = [tuple(row[field] for field in schema.fieldNames()) for row in rows]
     spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(lake.log(name))
 

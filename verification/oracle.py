@@ -482,6 +482,9 @@ _EVIDENCE = " UNION ALL ".join(
     ]
 )
 
+_PRODUCTS = f"""SELECT category, product_name, {_rounded('revenue')} AS revenue,
+    {_long('units')} AS units, orders FROM vw_product_performance"""
+
 _SELECTS = {
     "extract_incremental": f"""SELECT * FROM src_orders
         WHERE updated_at > TIMESTAMP '{_after('orders')}'""",
@@ -545,8 +548,8 @@ _SELECTS = {
     "vw_executive_summary": f"{_TOTALS} FROM vw_executive_summary",
     "vw_daily_sales": f"SELECT calendar_date, * EXCLUDE (calendar_date) FROM "
     f"({_TOTALS}, calendar_date FROM vw_daily_sales)",
-    "vw_product_performance": f"""SELECT category, product_name, {_rounded('revenue')} AS revenue,
-        {_long('units')} AS units, orders FROM vw_product_performance""",
+    "vw_product_performance": _PRODUCTS,
+    "vw_product_performance_hot_keys": _PRODUCTS,
     "vw_customer_segments": f"""SELECT customer_segment, customers, orders,
         {_rounded('revenue')} AS revenue FROM vw_customer_segments""",
     "vw_campaign_performance": f"""SELECT campaign_id, channel, clicks, conversions,

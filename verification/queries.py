@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-from functools import cached_property
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +17,21 @@ from shopledger.operators import (
     ordered_page,
 )
 from shopledger.plans import marts, quality, runs
-from shopledger.plans.silver import build_silver, row_counts
+from shopledger.plans.silver import row_counts, silver_table
 from shopledger.plans.warehouse import (
-    build_warehouse,
+    DIMENSIONS,
+    FACTS,
+    dim_channel,
+    dim_customer,
+    dim_date,
+    dim_product,
     fact_campaign_events,
     fact_sales,
-    find_hot_keys,
     load_assertions,
 )
-from shopledger.schemas import EVENT_FEED_SCHEMA, ITEM_FIXTURE_SCHEMA
+from shopledger.schemas import EVENT_FEED_SCHEMA, ITEM_FIXTURE_SCHEMA, SOURCES
 from shopledger.session import prepare
-from shopledger.sources.sample import campaign_events, sample_sources
+from shopledger.sources.sample import campaign_events, sample_source
 from verification.faults import faulty_silver
 
 SALT = "sample-salt"
@@ -43,7 +45,7 @@ WATERMARKS = {
 }
 # Splits every key with more rows than this, whatever the table size, so that
 # the split joins can be compared with the plain ones on the sample.
-FORCED_SKEW = SkewPolicy(min_input_bytes=0, rows_per_task=20)
+FORCED_SKEW = SkewPolicy(min_input_bytes=0, rows_per_task=3)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -58,52 +60,93 @@ def portable(df: DataFrame) -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-@dataclass
-class Sample:
-    """Layers over one sample folder, each built when first asked for."""
+class Layer(Mapping):
+    """Tables built when first asked for: a query plans only what it reads."""
 
-    spark: SparkSession
-    folder: str
+    def __init__(self, names: Iterable[str], build: Callable[[str], DataFrame]):
+        self._names, self._build, self._built = tuple(names), build, {}
 
-    @cached_property
-    def sources(self):
-        return sample_sources(prepare(self.spark), self.folder)
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
 
-    @cached_property
-    def replayed(self):
-        """Bronze after every source was extracted twice."""
-        return {name: df.unionByName(df) for name, df in self.sources.items()}
+    def __iter__(self):
+        return iter(self._names)
 
-    @cached_property
-    def silver(self):
-        return build_silver(self.sources, salt=SALT)
+    def __len__(self):
+        return len(self._names)
 
-    @cached_property
-    def faulty(self):
-        all_events = campaign_events(self.spark, self.folder, kept=None)
-        return faulty_silver(build_silver({**self.sources, "campaign_events": all_events}, salt=SALT))
 
-    @cached_property
-    def warehouse(self):
-        return build_warehouse(self.silver)
+class Sample:
+    """The layers over one sample folder."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = prepare(spark), folder
+        self.sources = Layer(SOURCES, lambda name: sample_source(spark, folder, name))
+        # Bronze after every source was extracted twice.
+        self.replayed = Layer(SOURCES, lambda name: self.sources[name].unionByName(self.sources[name]))
+        self.silver = self._silver_of(self.sources)
+        self.warehouse = Layer((*DIMENSIONS, *FACTS), self._warehouse_table)
+        self.marts = Layer(marts.MART_NAMES, self._mart)
+
+    @staticmethod
+    def _silver_of(bronze: Mapping[str, DataFrame]) -> Layer:
+        return Layer(SOURCES, lambda name: silver_table(name, bronze[name], salt=SALT))
+
+    def _warehouse_table(self, name: str) -> DataFrame:
+        silver = self.silver
+        return {
+            "dim_customer": lambda: dim_customer(silver["customers"]),
+            "dim_product": lambda: dim_product(silver["products"]),
+            "dim_date": lambda: dim_date(silver["orders"], silver["campaign_events"]),
+            "dim_channel": lambda: dim_channel(silver["campaign_events"]),
+            "fact_sales": lambda: fact_sales(silver),
+            "fact_campaign_events": lambda: fact_campaign_events(silver),
+        }[name]()
+
+    def _mart(self, name: str) -> DataFrame:
+        w = self.warehouse
+        return {
+            "vw_executive_summary": lambda: marts.executive_summary(w["fact_sales"]),
+            "vw_daily_sales": lambda: marts.daily_sales(w["fact_sales"], w["dim_date"]),
+            "vw_product_performance": lambda: marts.product_performance(
+                w["fact_sales"], w["dim_product"]
+            ),
+            "vw_customer_segments": lambda: marts.customer_segments(
+                w["fact_sales"], w["dim_customer"]
+            ),
+            "vw_campaign_performance": lambda: marts.campaign_performance(
+                w["fact_campaign_events"], w["dim_channel"]
+            ),
+        }[name]()
 
-    @cached_property
-    def daily(self):
-        return marts.daily_sales(self.warehouse["fact_sales"], self.warehouse["dim_date"])
+    @property
+    def reloaded_sales(self) -> DataFrame:
+        """Sales facts of a second load, from the replayed Bronze."""
+        return fact_sales(self._silver_of(self.replayed))
 
-    @cached_property
-    def marts(self):
-        return marts.build_marts(self.warehouse)
+    @property
+    def faulty(self):
+        all_events = campaign_events(self.spark, self.folder, kept=None)
+        clean = dict(self.silver)
+        clean["campaign_events"] = silver_table("campaign_events", all_events, salt=SALT)
+        return faulty_silver(clean)
 
-    @cached_property
+    @property
+    def daily(self) -> DataFrame:
+        return self.marts["vw_daily_sales"]
+
+    @property
     def with_bad_item(self):
         return quality.with_item_fixture(self.silver, bad_item(self.spark))
 
-    @cached_property
-    def ledger(self):
+    @property
+    def ledger(self) -> DataFrame:
         """A run per calendar year of order items."""
-        items = self.sources["order_items"]
-        return _yearly_runs(items, "updated_at")
+        return _yearly_runs(self.sources["order_items"], "updated_at")
 
     @property
     def objects(self):
@@ -207,21 +250,12 @@ def _raw_pii(s: Sample) -> DataFrame:
     )
 
 
-def _hot_sales(s: Sample) -> DataFrame:
-    return fact_sales(s.silver, find_hot_keys(s.silver, FORCED_SKEW))
-
-
-def _hot_events(s: Sample) -> DataFrame:
-    return fact_campaign_events(s.silver, find_hot_keys(s.silver, FORCED_SKEW))
-
-
 def _evidence(s: Sample) -> DataFrame:
-    second = fact_sales(build_silver(s.replayed, salt=SALT))
     return runs.evidence(
         executive=s.marts["vw_executive_summary"],
         checks=quality.check_frame(s.silver),
         assertions=load_assertions(s.silver, s.warehouse),
-        idempotent=runs.idempotency(s.warehouse["fact_sales"], second),
+        idempotent=runs.idempotency(s.warehouse["fact_sales"], s.reloaded_sales),
         bad_fixture_checks=quality.check_frame(s.with_bad_item),
         layers=runs.layer_row_counts(s.sources, s.silver),
         objects=runs.object_counts(s.objects),
@@ -297,9 +331,9 @@ _QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "dim_date": _table("dim_date"),
     "dim_channel": _table("dim_channel"),
     "fact_sales": _table("fact_sales"),
-    "fact_sales_hot_keys": _hot_sales,
+    "fact_sales_hot_keys": lambda s: fact_sales(s.silver, FORCED_SKEW),
     "fact_campaign_events": _table("fact_campaign_events"),
-    "fact_campaign_events_hot_keys": _hot_events,
+    "fact_campaign_events_hot_keys": lambda s: fact_campaign_events(s.silver, FORCED_SKEW),
     "load_assertions": lambda s: load_assertions(s.silver, s.warehouse),
     "warehouse_metrics": lambda s: runs.warehouse_metrics(s.warehouse, s.ledger),
     "warehouse_object_counts": lambda s: runs.object_counts(s.objects),
@@ -307,13 +341,16 @@ _QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "vw_daily_sales": _mart("vw_daily_sales"),
     "vw_product_performance": _mart("vw_product_performance"),
     "vw_customer_segments": _mart("vw_customer_segments"),
+    "vw_product_performance_hot_keys": lambda s: marts.product_performance(
+        s.warehouse["fact_sales"], s.warehouse["dim_product"], FORCED_SKEW
+    ),
     "vw_campaign_performance": _mart("vw_campaign_performance"),
     "executive_from_daily": lambda s: marts.executive_from_daily(s.daily),
     "daily_sales_coverage": lambda s: marts.daily_coverage(s.daily),
     "daily_sales_first_days": lambda s: marts.first_days(s.daily),
     "run_ledger_upsert": _upsert,
     "idempotency_check": lambda s: runs.idempotency(
-        s.warehouse["fact_sales"], fact_sales(build_silver(s.replayed, salt=SALT))
+        s.warehouse["fact_sales"], s.reloaded_sales
     ),
     "publishable_run": lambda s: runs.publishable_run(
         s.ledger, _quality_log(s.sources["order_items"])
@@ -325,6 +362,6 @@ _QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: portable(build(Sample(prepare(spark), folder.rstrip("/"))))
+        return lambda spark, folder: portable(build(Sample(spark, folder.rstrip("/"))))
 
     return {name: bind(build) for name, build in _QUERIES.items()}
