@@ -21,13 +21,18 @@ class SkewPolicy:
     rows_per_task: int = 4_000_000
 
 
+# A leaf without statistics reports about this size (2^63 - 1).
+NO_STATISTICS = 2**62
+
+
 def input_bytes(df: DataFrame) -> int | None:
     """Size of the scanned inputs by Catalyst's leaf statistics, if known."""
     plan = getattr(df, "_jdf", None)
     if plan is None:  # a Connect session has no JVM plan to ask
         return None
     leaves = plan.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return None if max(sizes, default=0) >= NO_STATISTICS else sum(sizes)
 
 
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame | None:

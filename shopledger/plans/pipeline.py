@@ -29,6 +29,7 @@ from shopledger.schemas import (
     SOURCES,
     WATERMARK_SCHEMA,
 )
+from shopledger.session import sized_shuffles
 from shopledger.sources import lake as store
 from shopledger.sources.lake import Lake
 
@@ -123,7 +124,8 @@ def extract_all(
 def transform(spark: SparkSession, lake: Lake, slot: str, *, salt: str, run_id: str) -> dict:
     """Rebuild Silver from all Bronze batches into a staging slot."""
     bronze = {source: store.read_bronze(spark, lake, source) for source in SOURCES}
-    counts = store.stage_silver(spark, build_silver(bronze, salt=salt), lake, slot)
+    with sized_shuffles(spark, *bronze.values()):
+        counts = store.stage_silver(spark, build_silver(bronze, salt=salt), lake, slot)
     return {
         "run_id": run_id,
         "completed_at": _now(),
@@ -140,16 +142,19 @@ def gate(
     run_id: str,
     item_fixture: DataFrame | None = None,
     minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
+    policy: SkewPolicy = SkewPolicy(),
     raise_on_failure: bool = True,
 ) -> dict:
     """Run the gate and log its check rows, then raise if it failed."""
-    report = quality.run_gate(
-        silver,
-        run_id=run_id,
-        item_fixture=item_fixture,
-        minimum_rows=minimum_rows,
-        raise_on_failure=False,
-    )
+    with sized_shuffles(spark, *silver.values()):
+        report = quality.run_gate(
+            silver,
+            run_id=run_id,
+            item_fixture=item_fixture,
+            minimum_rows=minimum_rows,
+            policy=policy,
+            raise_on_failure=False,
+        )
     rows = [
         {"run_id": run_id, "checked_at": report["checked_at"], **check}
         for check in report["checks"]
@@ -173,20 +178,23 @@ def load(
     *,
     run_id: str,
     policy: SkewPolicy = SkewPolicy(),
+    verified: bool = False,
 ) -> dict:
     """Build the star schema in the staging slot, assert on what was written,
-    then publish it and record the run."""
+    then publish it and record the run. ``verified`` if the gate has passed
+    this very Silver."""
     slot = store.staging_slot(spark, lake, "warehouse")
-    objects = build_warehouse(silver, policy)
+    objects = build_warehouse(silver, policy, verified=verified)
     for fact in FACTS:
         # Rows of a file are put in date order: row groups then carry narrow
         # date ranges, and a date filter skips most of them.
         objects[fact] = objects[fact].sortWithinPartitions("date_key")
-    store.in_parallel(
-        spark,
-        lambda name: store.write_table(objects[name], lake.warehouse(slot, name)),
-        objects,
-    )
+    with sized_shuffles(spark, *silver.values()):
+        store.in_parallel(
+            spark,
+            lambda name: store.write_table(objects[name], lake.warehouse(slot, name)),
+            objects,
+        )
     written = read_warehouse(spark, lake, slot)
     metrics = load_assertions(silver, written).first().asDict()
     require_loaded(metrics)
@@ -235,9 +243,12 @@ def run(
     slot = store.staging_slot(spark, lake, "silver")
     transformation = transform(spark, lake, slot, salt=salt, run_id=run_id)
     silver = store.read_silver(spark, lake, slot)
-    report = gate(spark, lake, silver, run_id=run_id, minimum_rows=minimum_rows)
+    report = gate(
+        spark, lake, silver, run_id=run_id, minimum_rows=minimum_rows, policy=policy
+    )
     store.publish_slot(spark, lake, "silver", slot, run_id=run_id, at=_now())
-    warehouse = load(spark, lake, silver, run_id=run_id, policy=policy)
+    # The gate above raised unless every key of this Silver is known and unique.
+    warehouse = load(spark, lake, silver, run_id=run_id, policy=policy, verified=True)
     return {
         "run_id": run_id,
         "extract": extraction,

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.operators import SkewPolicy, hot_keys, skew_join
 from shopledger.plans.silver import Silver
 from shopledger.schemas import (
     AMOUNT_TOLERANCE,
@@ -142,14 +143,21 @@ def orphans_by_relationship(silver: Silver) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def payment_mismatches(payments: DataFrame, items: DataFrame) -> DataFrame:
+def payment_mismatches(
+    payments: DataFrame, items: DataFrame, policy: SkewPolicy = SkewPolicy()
+) -> DataFrame:
     """Payments whose amount differs from the total of their order's items. A
     payment without items, or with a null amount, is not one of them."""
     totals = items.groupBy("order_id").agg(F.round(F.sum("line_amount"), 2).alias("item_total"))
-    difference = F.abs(F.col("payment_amount") - F.col("item_total"))
-    return payments.join(totals, "order_id").where(
-        difference > F.lit(AMOUNT_TOLERANCE).cast("decimal(12,2)")
+    paired = skew_join(
+        payments,
+        totals,
+        "order_id",
+        left_hot=hot_keys(payments, "order_id", policy),
+        left_id="payment_id",
     )
+    difference = F.abs(F.col("payment_amount") - F.col("item_total"))
+    return paired.where(difference > F.lit(AMOUNT_TOLERANCE).cast("decimal(12,2)"))
 
 
 def raw_personal_columns(df: DataFrame) -> list[str]:
@@ -168,6 +176,7 @@ def check_frame(
     silver: Silver,
     checks: Iterable[str] = CHECKS,
     minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
+    policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """One row per check: (check_name, failures, passed, blocking, detail)."""
     checks = list(checks)
@@ -179,7 +188,7 @@ def check_frame(
         total = orphans_by_relationship(silver).agg(F.sum("failures").alias("failures"))
         parts.append(_named(total, REFERENTIAL_INTEGRITY))
     if PAYMENT_RECONCILES in checks:
-        mismatches = payment_mismatches(silver["payments"], silver["order_items"])
+        mismatches = payment_mismatches(silver["payments"], silver["order_items"], policy)
         parts.append(
             _named(mismatches.agg(F.count(F.lit(1)).alias("failures")), PAYMENT_RECONCILES)
         )
@@ -227,6 +236,7 @@ def run_gate(
     run_id: str,
     item_fixture: DataFrame | None = None,
     minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
+    policy: SkewPolicy = SkewPolicy(),
     raise_on_failure: bool = True,
 ) -> dict:
     """Run all checks and return the report; raise if a blocking one failed.
@@ -235,7 +245,8 @@ def run_gate(
     """
     if item_fixture is not None:
         silver = with_item_fixture(silver, item_fixture)
-    rows = {row["check_name"]: row.asDict() for row in check_frame(silver, CHECKS, minimum_rows).collect()}
+    checks = check_frame(silver, CHECKS, minimum_rows, policy)
+    rows = {row["check_name"]: row.asDict() for row in checks.collect()}
     report = gate_report(run_id, [rows[name] for name in CHECKS])
     if raise_on_failure:
         require_passed(report)

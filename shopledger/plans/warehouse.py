@@ -80,20 +80,44 @@ def dim_channel(events: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def _with_key(
+    df: DataFrame,
+    parent: DataFrame,
+    business_key: str,
+    key: str,
+    row_id: str,
+    *,
+    policy: SkewPolicy,
+    verified: bool,
+) -> DataFrame:
+    """Replace a business key by its dimension's surrogate key, leaving out rows
+    whose parent is unknown. The surrogate is a function of the business key, so
+    for verified data, whose parents are all known, it needs no join."""
+    if verified:
+        return df.withColumn(key, surrogate_key(business_key)).drop(business_key)
+    return skew_join(
+        df,
+        parent.select(business_key, surrogate_key(business_key).alias(key)),
+        business_key,
+        left_hot=hot_keys(df, business_key, policy),
+        left_id=row_id,
+    ).drop(business_key)
+
+
+def fact_sales(
+    silver: Silver, policy: SkewPolicy = SkewPolicy(), *, verified: bool = False
+) -> DataFrame:
     """One row per order item with its order, payment and dimension keys.
 
     All joins are inner. The customer join runs at order grain, before the
-    larger item side takes part, and reads only the key of each dimension. The
-    date dimension holds every order date, so joining it would only drop null
-    dates; the key is derived in place instead.
+    larger item side takes part. The date dimension holds every order date, so
+    joining it would only drop null dates; the key is derived in place instead.
+
+    ``verified`` says that this Silver passed the gate: keys are unique, and no
+    row has a null or unknown customer or product. Then the customer and product
+    joins would keep every row once, and the items are shuffled on their order
+    alone.
     """
-    customer_keys = silver["customers"].select(
-        "customer_id", surrogate_key("customer_id").alias("customer_key")
-    )
-    product_keys = silver["products"].select(
-        "product_id", surrogate_key("product_id").alias("product_key")
-    )
     orders = silver["orders"].where(F.col("order_timestamp").isNotNull()).select(
         "order_id",
         "customer_id",
@@ -101,30 +125,30 @@ def fact_sales(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
         "order_timestamp",
         date_key(F.to_date("order_timestamp")).alias("date_key"),
     )
-    orders = skew_join(
+    orders = _with_key(
         orders,
-        customer_keys,
+        silver["customers"],
         "customer_id",
-        left_hot=hot_keys(silver["orders"], "customer_id", policy),
-        left_id="order_id",
-    ).drop("customer_id")
+        "customer_key",
+        "order_id",
+        policy=policy,
+        verified=verified,
+    )
     payments = silver["payments"].select(
         "order_id", "payment_id", "payment_method", "payment_timestamp"
     )
-    payment_orders = hot_keys(silver["payments"], "order_id", policy)
+    payment_orders = hot_keys(payments, "order_id", policy)
     paid_orders = skew_join(
-        payments,
-        orders,
-        "order_id",
-        left_hot=payment_orders,
-        left_id="payment_id",
+        payments, orders, "order_id", left_hot=payment_orders, left_id="payment_id"
     )
-    items = skew_join(
+    items = _with_key(
         silver["order_items"].drop("updated_at"),
-        product_keys,
+        silver["products"],
         "product_id",
-        left_hot=hot_keys(silver["order_items"], "product_id", policy),
-        left_id="order_item_id",
+        "product_key",
+        "order_item_id",
+        policy=policy,
+        verified=verified,
     )
     return skew_join(
         items,
@@ -151,21 +175,22 @@ def fact_sales(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
     )
 
 
-def fact_campaign_events(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+def fact_campaign_events(
+    silver: Silver, policy: SkewPolicy = SkewPolicy(), *, verified: bool = False
+) -> DataFrame:
     """One row per event of a known customer. Channel and date keys are derived
     in place: both dimensions are made from these same events."""
     events = silver["campaign_events"].where(
         F.col("channel").isNotNull() & F.col("event_timestamp").isNotNull()
     )
-    customer_keys = silver["customers"].select(
-        "customer_id", surrogate_key("customer_id").alias("customer_key")
-    )
-    return skew_join(
+    return _with_key(
         events,
-        customer_keys,
+        silver["customers"],
         "customer_id",
-        left_hot=hot_keys(silver["campaign_events"], "customer_id", policy),
-        left_id="event_id",
+        "customer_key",
+        "event_id",
+        policy=policy,
+        verified=verified,
     ).select(
         F.col("event_id").alias("campaign_event_key"),
         "event_id",
@@ -188,11 +213,13 @@ def build_dimensions(silver: Silver) -> dict[str, DataFrame]:
     }
 
 
-def build_warehouse(silver: Silver, policy: SkewPolicy = SkewPolicy()) -> dict[str, DataFrame]:
+def build_warehouse(
+    silver: Silver, policy: SkewPolicy = SkewPolicy(), *, verified: bool = False
+) -> dict[str, DataFrame]:
     return {
         **build_dimensions(silver),
-        "fact_sales": fact_sales(silver, policy),
-        "fact_campaign_events": fact_campaign_events(silver, policy),
+        "fact_sales": fact_sales(silver, policy, verified=verified),
+        "fact_campaign_events": fact_campaign_events(silver, policy, verified=verified),
     }
 
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+from shopledger.operators import input_bytes
 
 # Runtime settings that results depend on: dates are taken in UTC, and Bronze
 # and Silver files carry microsecond timestamps instead of INT96.
@@ -21,6 +25,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Scanned bytes per shuffle partition. Columnar files grow several times when
+# decoded, and a sort of a few GB spills without harm, so this stays well below
+# executor memory; the upper bound keeps the number of shuffle blocks in check.
+BYTES_PER_PARTITION = 256 * 1024**2
+MOST_PARTITIONS = 40_000
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the largest input while
+    the block runs. AQE merges partitions that turn out small, but it cannot
+    make more of them than the setting says."""
+    name = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(name))
+    largest = max((input_bytes(df) or 0 for df in inputs), default=0)
+    wanted = min(largest // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    spark.conf.set(name, str(max(before, wanted)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, str(before))
+
+
 def local_session(cores: str = "*", *, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; clusters bring their own."""
     builder = (

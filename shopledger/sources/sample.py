@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.functions import money
-from shopledger.operators import latest_by_key
+from shopledger.operators import input_bytes, latest_by_key
 from shopledger.schemas import SOURCES
 
 EVENT_TYPES_KEPT = ("click", "purchase")
@@ -30,8 +30,20 @@ _COLUMNS = {
 }
 
 
+# Sizes between which a table is one row group in one file, so that one task
+# reads it, and is yet large enough to share out.
+_ONE_TASK_BYTES = (1 * 1024**2, 64 * 1024**2)
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+    """A sample table. A small one is spread over all cores after the scan,
+    which alone would leave everything up to the first shuffle to one task;
+    larger tables have files enough and are read as they are."""
+    df = spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
+    least, most = _ONE_TASK_BYTES
+    if least <= (input_bytes(df) or 0) < most:
+        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
+    return df
 
 
 def _id(prefix: str, key: str) -> Column:

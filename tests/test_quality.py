@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 
+from shopledger.operators import SkewPolicy
 from shopledger.plans import quality
 from shopledger.sources.inputs import read_item_fixture
 from tests.data import at, silver
@@ -84,6 +85,22 @@ def test_payment_tolerance(spark, amount, expected):
     assert found == ({quality.PAYMENT_RECONCILES: 1} if expected else {})
 
 
+def test_order_with_most_of_the_payments(spark):
+    """Splitting a hot order changes no result."""
+    payments = [
+        (f"Y{i}", "O1" if i % 4 else "O3", "card", Decimal(i % 13), at(2), at(2)) for i in range(80)
+    ]
+    tables = silver(spark, payments=payments)
+    plain, split = (
+        quality.payment_mismatches(tables["payments"], tables["order_items"], policy)
+        for policy in (SkewPolicy(), SkewPolicy(min_input_bytes=0, rows_per_task=7))
+    )
+    expected = sorted(r["payment_id"] for r in plain.collect())
+    wrong = [p for p in payments if p[3] != (11 if p[1] == "O1" else 2)]
+    assert expected == sorted(p[0] for p in wrong)
+    assert sorted(r["payment_id"] for r in split.collect()) == expected
+
+
 def test_payment_without_items_is_not_a_mismatch(spark):
     items = [("I1", "O1", "P1", 3, Decimal("2.00"), at(2), Decimal("11.00"))]
     assert failures(silver(spark, order_items=items)) == {}

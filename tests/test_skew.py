@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from shopledger import session
 from shopledger.operators import SkewPolicy, hot_keys, input_bytes, skew_join
 
 POLICY = SkewPolicy(min_input_bytes=0, rows_per_task=20)
@@ -84,6 +85,20 @@ def test_hot_rows_are_spread_over_tasks(spark):
     assert max(sizes) < 20_000 / 4
 
 
+def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    with session.sized_shuffles(spark, df):
+        assert spark.conf.get(name) == before
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 10)
+    with pytest.raises(RuntimeError), session.sized_shuffles(spark, df):
+        assert int(spark.conf.get(name)) == input_bytes(df) // 10
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
 def test_parts_do_not_depend_on_the_attempt(spark):
     """Recomputing a task must not move rows, so no random values in the plan."""
     left, right = _frames(spark, _rows(100, 3, "a"), _rows(10, 4))

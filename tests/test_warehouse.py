@@ -48,6 +48,38 @@ def test_facts_equal_the_dimension_joins(spark):
     assert sorted(map(tuple, derived.collect())) == sorted(map(tuple, events.collect()))
 
 
+def test_verified_load_equals_the_joined_one(spark):
+    tables = silver(spark)
+    joined, derived = (build_warehouse(tables, verified=v) for v in (False, True))
+    for fact in ("fact_sales", "fact_campaign_events"):
+        assert joined[fact].columns == derived[fact].columns
+        assert sorted(map(tuple, joined[fact].collect())) == sorted(
+            map(tuple, derived[fact].collect())
+        )
+    plan = derived["fact_sales"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
+
+
+@pytest.mark.parametrize("rows_per_task", [1, 2, 5])
+def test_hot_orders_customers_and_products(spark, rows_per_task):
+    """One order, customer and product with most of the rows."""
+    orders = [(f"O{i}", "C1" if i % 5 else "C2", "paid", at(2), at(2)) for i in range(1, 16)]
+    payments = [
+        (f"Y{i}", "O1" if i < 6 else f"O{i}", "card", Decimal("1.00"), at(2), at(2))
+        for i in range(1, 14)
+    ]
+    items = [
+        (f"I{i}", "O1" if i % 3 else f"O{i % 16}", "P1" if i % 4 else "P2", 1,
+         Decimal("2.00"), at(2), Decimal("2.00"))
+        for i in range(60)
+    ]
+    tables = silver(spark, orders=orders, payments=payments, order_items=items)
+    policy = SkewPolicy(min_input_bytes=0, rows_per_task=rows_per_task)
+    plain, split = fact_sales(tables), fact_sales(tables, policy)
+    assert plain.columns == split.columns
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+
 def test_items_without_order_payment_or_dimension_are_left_out(spark):
     items = [
         ("I1", "O1", "P1", 3, Decimal("2.00"), at(2), Decimal("6.00")),

@@ -537,8 +537,10 @@ _SELECTS = {
     "dim_channel": "SELECT * FROM dim_channel",
     "fact_sales": _SALES,
     "fact_sales_hot_keys": _SALES,
+    "fact_sales_verified": _SALES,
     "fact_campaign_events": _EVENTS,
     "fact_campaign_events_hot_keys": _EVENTS,
+    "fact_campaign_events_verified": _EVENTS,
     "load_assertions": f"SELECT * REPLACE ({_double('silver_revenue', 'warehouse_revenue')}) FROM ({_ASSERTIONS})",
     "warehouse_metrics": """SELECT COUNT(*) AS fact_sales_rows,
         COUNT(DISTINCT sales_key) AS distinct_sales_keys,

@@ -332,7 +332,9 @@ _QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "dim_channel": _table("dim_channel"),
     "fact_sales": _table("fact_sales"),
     "fact_sales_hot_keys": lambda s: fact_sales(s.silver, FORCED_SKEW),
+    "fact_sales_verified": lambda s: fact_sales(s.silver, verified=True),
     "fact_campaign_events": _table("fact_campaign_events"),
+    "fact_campaign_events_verified": lambda s: fact_campaign_events(s.silver, verified=True),
     "fact_campaign_events_hot_keys": lambda s: fact_campaign_events(s.silver, FORCED_SKEW),
     "load_assertions": lambda s: load_assertions(s.silver, s.warehouse),
     "warehouse_metrics": lambda s: runs.warehouse_metrics(s.warehouse, s.ledger),
