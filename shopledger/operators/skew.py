@@ -21,6 +21,10 @@ class SkewPolicy:
     rows_per_task: int = 4_000_000
 
 
+# Fewer hot keys than this are broadcast: a few MB, whatever the data. A key
+# below this share of 10^12 rows has at most 10^7 of them, which one task sorts.
+MOST_HOT_KEYS = 100_000
+
 # A leaf without statistics reports about this size (2^63 - 1).
 NO_STATISTICS = 2**62
 
@@ -39,18 +43,18 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame | None:
     """Keys above ``rows_per_task`` with the number of parts to split them into,
     or None when the input is too small to need it.
 
-    The count is exact and combined map-side, over one pruned column. There are
-    at most ``total rows / rows_per_task`` such keys (250,000 short rows for
-    10^12 rows), which is what bounds the broadcast in ``skew_join``.
+    The count is exact and combined map-side, over one pruned column. A key must
+    also hold more than one part in ``MOST_HOT_KEYS`` of all rows, so there are
+    always fewer such keys than that: this bounds the broadcast in ``skew_join``.
     """
     size = input_bytes(df)
     if size is not None and size < policy.min_input_bytes:
         return None
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counts.agg(F.sum("_n")).scalar()
+    least = F.greatest(F.lit(policy.rows_per_task), F.ceil(rows / MOST_HOT_KEYS))
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > policy.rows_per_task)
+        counts.where(F.col("_n") > least)
         .select(key, F.ceil(F.col("_n") / policy.rows_per_task).cast("int").alias("_parts"))
     )
 

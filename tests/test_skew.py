@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopledger import session
-from shopledger.operators import SkewPolicy, hot_keys, input_bytes, skew_join
+from shopledger.operators import SkewPolicy, hot_keys, input_bytes, skew, skew_join
 
 POLICY = SkewPolicy(min_input_bytes=0, rows_per_task=20)
 
@@ -51,6 +51,17 @@ def test_hot_keys_are_exact(spark):
     assert found == {"x": 3}
 
 
+def test_number_of_hot_keys_is_bounded(spark, monkeypatch):
+    """Twelve keys of ten rows are hot by size; a share of one in five is not
+    reached by any of them, and by at most four keys of anything."""
+    rows = [(f"k{i % 12}",) for i in range(120)] + [("big",)] * 60
+    df = spark.createDataFrame(rows, "k string")
+    policy = SkewPolicy(min_input_bytes=0, rows_per_task=9)
+    assert hot_keys(df, "k", policy).count() == 13
+    monkeypatch.setattr(skew, "MOST_HOT_KEYS", 5)
+    assert [tuple(r) for r in hot_keys(df, "k", policy).collect()] == [("big", 7)]
+
+
 def test_small_inputs_are_not_counted(spark, tmp_path):
     spark.range(1000).selectExpr("cast(id as string) AS k").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
