@@ -6,10 +6,9 @@ Ids are zero-padded to nine digits. Text columns are left untidy on purpose
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.functions import money
 from shopledger.operators import input_bytes, latest_by_key
 from shopledger.schemas import SOURCES
 
@@ -46,77 +45,61 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return df
 
 
-def _id(prefix: str, key: str) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), 9, "0"))
-
-
-def _time(column: str) -> Column:
-    return F.col(column).cast("timestamp")
-
-
-def _plus(moment: Column, unit: str, amount: Column) -> Column:
-    return moment + F.make_interval(**{unit: amount.cast("int")})
+def _id(prefix: str, key: str) -> str:
+    return f"concat('{prefix}', lpad(cast({key} AS string), 9, '0'))"
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey").cast("string")
-    since = _plus(F.lit("1995-01-01 00:00:00").cast("timestamp"), "hours", F.col("c_custkey"))
+    since = "timestamp '1995-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(c_custkey AS int))"
     return (
         _table(spark, folder, "customer")
-        .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            _id("CUST", "c_custkey").alias("customer_id"),
-            F.col("c_name").alias("full_name"),
-            F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
-            F.concat(
-                F.lit("+66-02-555-"), F.lpad((F.col("c_custkey") % 10000).cast("string"), 4, "0")
-            ).alias("phone"),
-            F.concat(key, F.lit(" Demo Road")).alias("address"),
-            F.col("n_name").alias("city"),
-            F.lower("c_mktsegment").alias("customer_segment"),
-            since.alias("created_at"),
-            since.alias("updated_at"),
+        .join(_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .selectExpr(
+            f"{_id('CUST', 'c_custkey')} AS customer_id",
+            "c_name AS full_name",
+            "concat(lower(c_name), '@example.com') AS email",
+            "concat('+66-02-555-', lpad(cast(c_custkey % 10000 AS string), 4, '0')) AS phone",
+            "concat(cast(c_custkey AS string), ' Demo Road') AS address",
+            "n_name AS city",
+            "lower(c_mktsegment) AS customer_segment",
+            f"{since} AS created_at",
+            f"{since} AS updated_at",
         )
     )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    listed = F.lit("1995-01-01 00:00:00").cast("timestamp")
-    return _table(spark, folder, "part").select(
-        _id("PROD", "p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        money(F.col("p_retailprice")).alias("unit_price"),
-        (F.col("p_size") % 13 != 0).alias("is_active"),
-        listed.alias("created_at"),
-        listed.alias("updated_at"),
+    return _table(spark, folder, "part").selectExpr(
+        f"{_id('PROD', 'p_partkey')} AS product_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "cast(p_retailprice AS decimal(12,2)) AS unit_price",
+        "p_size % 13 <> 0 AS is_active",
+        "timestamp '1995-01-01 00:00:00' AS created_at",
+        "timestamp '1995-01-01 00:00:00' AS updated_at",
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    status = F.col("o_orderstatus")
-    return _table(spark, folder, "orders").select(
-        _id("ORD", "o_orderkey").alias("order_id"),
-        _id("CUST", "o_custkey").alias("customer_id"),
-        F.when(status == "F", " COMPLETED")
-        .when(status == "O", "Shipped ")
-        .otherwise("cancelled")
-        .alias("order_status"),
-        _time("o_orderdate").alias("order_timestamp"),
-        _plus(_time("o_orderdate"), "hours", F.col("o_orderkey") % 24 + 1).alias("updated_at"),
+    hours = "make_interval(0, 0, 0, 0, cast(o_orderkey % 24 + 1 AS int))"
+    return _table(spark, folder, "orders").selectExpr(
+        f"{_id('ORD', 'o_orderkey')} AS order_id",
+        f"{_id('CUST', 'o_custkey')} AS customer_id",
+        "CASE o_orderstatus WHEN 'F' THEN ' COMPLETED' WHEN 'O' THEN 'Shipped ' "
+        "ELSE 'cancelled' END AS order_status",
+        "cast(o_orderdate AS timestamp) AS order_timestamp",
+        f"cast(o_orderdate AS timestamp) + {hours} AS updated_at",
     )
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    return _table(spark, folder, "lineitem").select(
-        F.concat(_id("ITEM", "l_orderkey"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
-            "order_item_id"
-        ),
-        _id("ORD", "l_orderkey").alias("order_id"),
-        _id("PROD", "l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        money(F.col("l_extendedprice")).alias("unit_price"),
-        _time("l_shipdate").alias("updated_at"),
+    return _table(spark, folder, "lineitem").selectExpr(
+        f"concat({_id('ITEM', 'l_orderkey')}, '-', cast(l_linenumber AS string)) AS order_item_id",
+        f"{_id('ORD', 'l_orderkey')} AS order_id",
+        f"{_id('PROD', 'l_partkey')} AS product_id",
+        "cast(l_quantity AS int) AS quantity",
+        "cast(l_extendedprice AS decimal(12,2)) AS unit_price",
+        "cast(l_shipdate AS timestamp) AS updated_at",
     )
 
 
@@ -125,25 +108,22 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
     order's own total where it has none."""
     items = latest_by_key(order_items(spark, folder), ["order_item_id"], ["updated_at"])
     totals = items.groupBy("order_id").agg(
-        F.sum(money(F.col("quantity") * F.col("unit_price"))).alias("item_total")
+        F.expr("sum(cast(quantity * unit_price AS decimal(12,2)))").alias("item_total")
     )
-    digit = F.substring("o_orderpriority", 1, 1)
-    paid = _plus(_time("o_orderdate"), "mins", F.col("o_orderkey") % 90 + 1)
+    minutes = "make_interval(0, 0, 0, 0, 0, cast(o_orderkey % 90 + 1 AS int))"
     return (
         _table(spark, folder, "orders")
-        .withColumn("order_id", _id("ORD", "o_orderkey"))
+        .selectExpr("*", f"{_id('ORD', 'o_orderkey')} AS order_id")
         .join(totals, "order_id", "left")
-        .select(
-            F.concat(F.lit("PAY"), F.substring("order_id", 4, 9)).alias("payment_id"),
+        .selectExpr(
+            "concat('PAY', substring(order_id, 4)) AS payment_id",
             "order_id",
-            F.when(digit == "1", "Card")
-            .when(digit == "2", " promptpay")
-            .when(digit == "3", "BANK_TRANSFER")
-            .otherwise("wallet")
-            .alias("payment_method"),
-            money(F.coalesce("item_total", money(F.col("o_totalprice")))).alias("payment_amount"),
-            paid.alias("payment_timestamp"),
-            paid.alias("updated_at"),
+            "CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'Card' WHEN '2' THEN ' promptpay' "
+            "WHEN '3' THEN 'BANK_TRANSFER' ELSE 'wallet' END AS payment_method",
+            "cast(coalesce(item_total, cast(o_totalprice AS decimal(12,2))) AS decimal(12,2)) "
+            "AS payment_amount",
+            f"cast(o_orderdate AS timestamp) + {minutes} AS payment_timestamp",
+            f"cast(o_orderdate AS timestamp) + {minutes} AS updated_at",
         )
     )
 
@@ -155,23 +135,17 @@ def campaign_events(
     events = _table(spark, folder, "events")
     if kept is not None:
         events = events.where(F.col("event_type").isin(*kept))
-    slot = F.col("event_id") % 4
-    campaign = F.get_json_object("props", "$.k").cast("int") % 10
-    return events.select(
-        _id("EVT", "event_id").alias("event_id"),
-        F.concat(F.lit("camp-"), campaign.cast("string")).alias("campaign_id"),
-        F.when(slot == 0, " Email ")
-        .when(slot == 1, "SOCIAL")
-        .when(slot == 2, "search")
-        .otherwise("Affiliate")
-        .alias("channel"),
-        _id("CUST", "user_id").alias("customer_id"),
-        F.when(F.col("event_type") == "purchase", "Conversion")
-        .otherwise(F.col("event_type"))
-        .alias("event_type"),
-        F.col("value").alias("revenue"),
-        _time("ts").alias("event_timestamp"),
-        _plus(_time("ts"), "mins", F.lit(5)).alias("updated_at"),
+    return events.selectExpr(
+        f"{_id('EVT', 'event_id')} AS event_id",
+        "concat('camp-', cast(cast(get_json_object(props, '$.k') AS int) % 10 AS string)) "
+        "AS campaign_id",
+        "CASE event_id % 4 WHEN 0 THEN ' Email ' WHEN 1 THEN 'SOCIAL' WHEN 2 THEN 'search' "
+        "ELSE 'Affiliate' END AS channel",
+        f"{_id('CUST', 'user_id')} AS customer_id",
+        "CASE WHEN event_type = 'purchase' THEN 'Conversion' ELSE event_type END AS event_type",
+        "value AS revenue",
+        "cast(ts AS timestamp) AS event_timestamp",
+        "cast(ts AS timestamp) + INTERVAL 5 MINUTES AS updated_at",
     )
 
 
