@@ -170,12 +170,17 @@ def append_log(spark: SparkSession, lake: Lake, name: str, rows: list[dict], sch
     spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(lake.log(name))
 
 
-def live_slot(spark: SparkSession, lake: Lake, layer: str) -> str | None:
-    """Slot of the newest publication of a layer; None before the first."""
+def live_publication(spark: SparkSession, lake: Lake, layer: str) -> dict | None:
+    """Newest publication of a layer (run and slot); None before the first."""
     published = read_log(spark, lake, "publications", PUBLISH_LOG_SCHEMA)
     current = latest_by_key(published, ["layer"], ["published_at"])
     row = current.where(F.col("layer") == layer).first()
-    return row["slot"] if row else None
+    return row.asDict() if row else None
+
+
+def live_slot(spark: SparkSession, lake: Lake, layer: str) -> str | None:
+    published = live_publication(spark, lake, layer)
+    return published["slot"] if published else None
 
 
 def staging_slot(spark: SparkSession, lake: Lake, layer: str) -> str:

@@ -233,3 +233,33 @@ def test_lookback_reads_late_rows(spark, tmp_path):
     )
     assert result["rows"] == 2
     assert result["watermark_after"] == datetime(2026, 5, 5, tzinfo=timezone.utc)
+
+
+def test_acceptance(spark, tmp_path, sources):
+    lake = Lake(str(tmp_path))
+    fixture = spark.createDataFrame(
+        [("BAD1", "ORD000000001", "PROD999999999", -2, Decimal("100.00"), at(1), Decimal("-200.00"))],
+        SILVER_SCHEMAS["order_items"],
+    )
+    result = pipeline.acceptance(spark, lake, sources, salt="s", item_fixture=fixture)
+    assert result["idempotency"]["passed"]
+    assert result["bad_data_gate"] == {
+        "status": "failed",
+        "blocking_failures": 3,
+        "warehouse_load_attempted": False,
+    }
+    evidence = {(r["section"], r["metric"]): r["value"] for r in result["evidence"].collect()}
+    assert evidence["reconciliation", "revenue_reconciles"] == "true"
+    assert evidence["quality", quality.RAW_PII_ABSENT] == "passed"
+    assert evidence["privacy", "protected_columns"] == "email_hash, phone_masked"
+    assert evidence["silver_rows", "order_items"] == evidence["objects", "fact_sales"] == str(ITEMS)
+    assert evidence["bronze_rows", "order_items"] == "6000"
+    assert evidence["bad_fixture", "blocking_failures"] == "3"
+
+    pipeline.serve(spark, lake)
+    total = spark.sql("SELECT sum(orders) FROM vw_daily_sales").first()[0]
+    assert str(total) == evidence["executive", "orders"]
+    assert spark.sql("SELECT count(*) FROM pipeline_runs").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM silver_order_items").first()[0] == ITEMS
+    for table in spark.catalog.listTables():
+        spark.catalog.dropTempView(table.name)
