@@ -100,9 +100,11 @@ def object_counts(objects: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
     kinds = F.create_map(
         *(F.lit(x) for name, (kind, _) in objects.items() for x in (name, kind))
     )
-    counts = row_counts({name: df for name, (_, df) in objects.items()}, "object_name", "row_count")
-    return counts.select("object_name", kinds[F.col("object_name")].alias("object_type"), "row_count").orderBy(
-        "object_type", "object_name"
+    frames = {name: df for name, (_, df) in objects.items()}
+    return (
+        row_counts(frames, "object_name", "row_count")
+        .select("object_name", kinds[F.col("object_name")].alias("object_type"), "row_count")
+        .orderBy("object_type", "object_name")
     )
 
 
@@ -135,7 +137,9 @@ def _section(name: str, df: DataFrame) -> DataFrame:
 
 def _listed(name: str, df: DataFrame, metric: str, value: Column) -> DataFrame:
     return df.select(
-        F.lit(name).alias("section"), F.col(metric).alias("metric"), value.cast("string").alias("value")
+        F.lit(name).alias("section"),
+        F.col(metric).alias("metric"),
+        value.cast("string").alias("value"),
     )
 
 

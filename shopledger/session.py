@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shopledger-shared-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for tables written within a job, in the place the cluster
+    names for checkpoints. Only where none is named, as in a plain local session,
+    is it a folder of this machine."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    return f"{root.rstrip('/')}/shopledger-{uuid.uuid4().hex}"
+
+
 # Scanned bytes per shuffle partition. Columnar files grow several times when
 # decoded, and a sort of a few GB spills without harm, so this stays well below
 # executor memory; the upper bound keeps the number of shuffle blocks in check.

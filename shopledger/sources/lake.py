@@ -137,6 +137,16 @@ def write_table(df: DataFrame, path: str, *measures: Column) -> dict:
     return seen.get
 
 
+def written(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """The tables, written to a folder and read back: each is computed once,
+    however often the result is used, and its lineage ends at the files."""
+    in_parallel(spark, lambda name: write_table(tables[name], f"{folder}/{name}"), list(tables))
+    return {
+        name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+        for name, df in tables.items()
+    }
+
+
 def stage_silver(spark: SparkSession, silver: Mapping[str, DataFrame], lake: Lake, slot: str) -> dict:
     """Write all Silver tables to a slot; row counts by table."""
     names = list(silver)
