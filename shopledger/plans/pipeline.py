@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from shopledger.operators import SkewPolicy, changed_since
 from shopledger.plans import marts, quality, runs
-from shopledger.plans.silver import Silver, build_silver
+from shopledger.plans.silver import Silver, build_silver, row_counts
 from shopledger.plans.warehouse import (
     DIMENSIONS,
     FACTS,
@@ -271,12 +271,18 @@ def publish_silver(spark: SparkSession, lake: Lake, target: Lake) -> dict:
     return {"quality_run_id": allowed["run_id"], "rows": counts}
 
 
-def status(spark: SparkSession, lake: Lake) -> dict:
-    """Metrics of the live warehouse."""
-    if store.live_slot(spark, lake, "warehouse") is None:
-        return {"exists": False}
-    metrics = runs.warehouse_metrics(live_warehouse(spark, lake), ledger(spark, lake))
-    return {"exists": True, **metrics.first().asDict()}
+def status(
+    spark: SparkSession, lake: Lake, sources: Mapping[str, DataFrame] | None = None
+) -> dict:
+    """Metrics of the live warehouse and, if asked, the rows of each source."""
+    report: dict = {"exists": False}
+    if store.live_slot(spark, lake, "warehouse") is not None:
+        metrics = runs.warehouse_metrics(live_warehouse(spark, lake), ledger(spark, lake))
+        report = {"exists": True, **metrics.first().asDict()}
+    if sources is not None:
+        counts = row_counts(sources, "source", "rows").collect()
+        report["sources"] = {row["source"]: row["rows"] for row in counts}
+    return report
 
 
 def serve(spark: SparkSession, lake: Lake) -> None:

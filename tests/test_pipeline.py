@@ -179,7 +179,8 @@ def test_pipeline_end_to_end(spark, tmp_path, sources):
     second = pipeline.run(spark, lake, sources, salt="s", run_id="second")
     assert second["extract"]["total_rows"] == 0
     assert second["warehouse"]["slot"] != first["warehouse"]["slot"]
-    metrics = pipeline.status(spark, lake)
+    metrics = pipeline.status(spark, lake, sources)
+    assert metrics["sources"] == {r["source"]: r["rows"] for r in first["extract"]["sources"]}
     assert metrics["fact_sales_rows"] == metrics["distinct_sales_keys"] == ITEMS
     assert metrics["pipeline_runs"] == 2
     columns = set(pipeline.live_warehouse(spark, lake)["dim_customer"].columns)
