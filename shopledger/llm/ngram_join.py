@@ -435,7 +435,17 @@ def near_groups(docs: DataFrame, *, words: int, num: int, den: int) -> DataFrame
         .select("left_n", "left_print", "left_node", "left_sketch", *(F.col(c).alias(f"right_{c}") for c in ids.columns))
         .mapInArrow(_near_by_sketch(limit), _PAIR_TYPES)
     )
-    links = _verify(stars, texts, words, limit)
+    # Of a set's many stars two are enough to hang it on its component.
+    least, greatest = (f(F.struct("left_print", "left_n", "left_node")) for f in (F.min, F.max))
+    hung = (
+        stars.groupBy("right_n", "right_print", "right_node")
+        .agg(F.array(least, greatest).alias("ends"))
+        .select("right_n", "right_print", "right_node", F.explode("ends").alias("end"))
+        .select("end.*", "right_n", "right_print", "right_node")
+        .select(*PAIR)
+        .distinct()
+    )
+    links = _verify(hung, texts, words, limit)
     first = components(links, "left_node", "right_node")
 
     # Then all pairs of a bucket that lie in different components so far.
