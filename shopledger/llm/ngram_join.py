@@ -35,10 +35,11 @@ _U64 = np.uint64
 # Each band reaches to this times its smallest size. Wider bands have more
 # segments than their small sets need, narrower ones put more sets into two bands.
 BAND_RATIO = 1.25
-# Cost of handling one index entry, in units of verifying one pair of sets.
-ENTRY_COST = 0.02
-# Chance that a shingle of a set is also in an unrelated set of its band: how
-# often long passages are shared. It only steers cost.
+# Cost of comparing one pair of a bucket by size and sketch, where handling one
+# index entry costs 1, and the share of pairs of a band that have passages in common.
+PAIR_COST = 0.03
+RELATED_PAIRS = 1e-3
+# Chance that a shingle of such a pair is in both. These figures only steer cost.
 SHARED_SHINGLE = 0.55
 
 
@@ -89,8 +90,8 @@ def allocate(bounds: list[int], sets: dict[int, tuple[int, float]], limit: Thres
             segments = needed - deletions
             per = mean / segments
             entries = segments + deletions * per
-            meetings = (segments + deletions * per) * SHARED_SHINGLE**per
-            return ENTRY_COST * entries * count + 0.5 * meetings * count * count * 1e-3
+            meetings = entries * SHARED_SHINGLE**per
+            return entries * count + PAIR_COST * RELATED_PAIRS * meetings * count * count / 2
 
         deletions = min(range(needed // 2 + 1), key=cost)
         reach = limit.smallest_partner(low)
