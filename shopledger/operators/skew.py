@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When to look for hot keys, and how far to split them.
+    """Whether to split hot keys, and how far.
 
-    Below ``min_input_bytes`` of scanned files even one key with all the rows
-    fits a task, so no pass is spent on counting. Above it, a key with more than
-    ``rows_per_task`` rows is split into parts of about that size.
+    Without ``split`` the join is left to AQE's skew join, whatever the size. With
+    it, a key with more than ``rows_per_task`` rows is split into parts of about that
+    size.
     """
 
-    min_input_bytes: int = 8 * 1024**3
+    split: bool = False
     rows_per_task: int = 4_000_000
 
 
@@ -41,14 +41,13 @@ def input_bytes(df: DataFrame) -> int | None:
 
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy) -> DataFrame | None:
     """Keys above ``rows_per_task`` with the number of parts to split them into,
-    or None when the input is too small to need it.
+    or None where the policy does not ask for it.
 
     The count is exact and combined map-side, over one pruned column. A key must
     also hold more than one part in ``MOST_HOT_KEYS`` of all rows, so there are
     always fewer such keys than that: this bounds the broadcast in ``skew_join``.
     """
-    size = input_bytes(df)
-    if size is not None and size < policy.min_input_bytes:
+    if not policy.split:
         return None
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     rows = counts.agg(F.sum("_n")).scalar()

@@ -63,14 +63,17 @@ def read_source_files(spark: SparkSession, table: str, path: str) -> DataFrame:
 
 
 def read_event_feed(spark: SparkSession, path: str) -> DataFrame:
-    """The campaign feed as JSON lines, times turned from ISO-8601 text to UTC."""
-    return utc_timestamps(spark.read.schema(EVENT_FEED_SCHEMA).json(path))
+    """The campaign feed as JSON lines, times turned from ISO-8601 text to UTC. A
+    line that is no such record fails the job that reads it."""
+    return utc_timestamps(spark.read.schema(EVENT_FEED_SCHEMA).option("mode", "FAILFAST").json(path))
 
 
 def read_item_fixture(spark: SparkSession, path: str) -> DataFrame:
-    """Extra order items for the quality gate, from CSV with a header."""
+    """Extra order items for the quality gate, from CSV with a header. A value that
+    does not fit its column fails the job that reads it."""
     return (
         spark.read.schema(ITEM_FIXTURE_SCHEMA)
+        .option("mode", "FAILFAST")
         .option("header", True)
         .option("enforceSchema", False)
         .csv(path)

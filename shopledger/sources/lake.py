@@ -74,16 +74,16 @@ def append_bronze(
     batch: DataFrame, lake: Lake, source: str, *, run_id: str, ingested_date: date
 ) -> dict:
     """Write one batch and report its rows and newest ``updated_at``, observed
-    in the same pass. An empty batch writes no file. The partition belongs to
-    the run: repeating a run replaces its own batch and no other."""
+    in the same pass. An empty batch writes no file. Batches only ever add: a run
+    repeated under its own id, after the watermark has moved, keeps what its first
+    attempt wrote, and Silver takes rows that came twice as one."""
     seen = Observation()
     (
         conform(utc_timestamps(batch), SOURCE_SCHEMAS[source])
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("newest"))
         .withColumns({"ingested_date": F.lit(ingested_date), "run_id": F.lit(run_id)})
         .sortWithinPartitions("updated_at")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
         .partitionBy("ingested_date", "run_id")
         .parquet(lake.bronze(source))
     )

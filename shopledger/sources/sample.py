@@ -9,12 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.operators import input_bytes, latest_by_key
+from shopledger.operators import latest_by_key
 from shopledger.schemas import SOURCES
 
-EVENT_TYPES_KEPT = ("click", "purchase")
-
-
 # Columns used here, in DDL; reading with a schema saves a pass over footers.
 _COLUMNS = {
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
@@ -29,20 +26,8 @@ _COLUMNS = {
 }
 
 
-# Sizes between which a table is one row group in one file, so that one task
-# reads it, and is yet large enough to share out.
-_ONE_TASK_BYTES = (1 * 1024**2, 64 * 1024**2)
-
-
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A sample table. A small one is spread over all cores after the scan,
-    which alone would leave everything up to the first shuffle to one task;
-    larger tables have files enough and are read as they are."""
-    df = spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
-    least, most = _ONE_TASK_BYTES
-    if least <= (input_bytes(df) or 0) < most:
-        df = df.repartition(spark.sparkContext.defaultParallelism, df.columns[0])
-    return df
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _id(prefix: str, key: str) -> str:
@@ -129,20 +114,19 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def campaign_events(
-    spark: SparkSession, folder: str, *, kept: tuple[str, ...] | None = EVENT_TYPES_KEPT
+    spark: SparkSession, folder: str, *, raw_types: bool = False
 ) -> DataFrame:
-    """Clicks and purchases as campaign events; all event types if ``kept`` is None."""
-    events = _table(spark, folder, "events")
-    if kept is not None:
-        events = events.where(F.col("event_type").isin(*kept))
-    return events.selectExpr(
+    """All events as campaign events: a purchase is a conversion, any other a click.
+    With ``raw_types`` the other types keep their names, for the checks."""
+    other = "event_type" if raw_types else "'click'"
+    return _table(spark, folder, "events").selectExpr(
         f"{_id('EVT', 'event_id')} AS event_id",
         "concat('camp-', cast(cast(get_json_object(props, '$.k') AS int) % 10 AS string)) "
         "AS campaign_id",
         "CASE event_id % 4 WHEN 0 THEN ' Email ' WHEN 1 THEN 'SOCIAL' WHEN 2 THEN 'search' "
         "ELSE 'Affiliate' END AS channel",
         f"{_id('CUST', 'user_id')} AS customer_id",
-        "CASE WHEN event_type = 'purchase' THEN 'Conversion' ELSE event_type END AS event_type",
+        f"CASE WHEN event_type = 'purchase' THEN 'Conversion' ELSE {other} END AS event_type",
         "value AS revenue",
         "cast(ts AS timestamp) AS event_timestamp",
         "cast(ts AS timestamp) + INTERVAL 5 MINUTES AS updated_at",

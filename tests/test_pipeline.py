@@ -100,7 +100,31 @@ def test_extraction_is_incremental_and_repeatable(spark, tmp_path):
     assert (changed["rows"], changed["watermark_after"]) == (1, at(5))
     table = source(spark, "orders", first)
     pipeline.extract_source(spark, lake, "orders", table, run_id="r1")  # repeated run
-    assert store.read_bronze(spark, lake, "orders").count() == 3
+    assert store.read_bronze(spark, lake, "orders").count() == 5
+
+
+def test_a_repeated_run_loses_nothing(spark, tmp_path):
+    """A run is repeated under its own id after its watermark has moved on."""
+    lake = Lake(str(tmp_path))
+    rows = [order("O1", "paid", 1), order("O2", "paid", 2)]
+    for table in (rows, [*rows, order("O3", "paid", 3)]):
+        mark = pipeline.watermarks(spark, lake).get("orders")
+        pipeline.extract_source(
+            spark, lake, "orders", source(spark, "orders", table), run_id="r1", watermark=mark
+        )
+    bronze = store.read_bronze(spark, lake, "orders")
+    assert sorted(r["order_id"] for r in bronze.collect()) == ["O1", "O2", "O3"]
+    assert pipeline.watermarks(spark, lake)["orders"] == at(3)
+
+
+def test_bad_records_fail_the_read(spark, tmp_path):
+    (tmp_path / "feed.json").write_text('{"event_id": "E1", "revenue": 1.0}\n{"event_id": "E2", "rev')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        inputs.read_event_feed(spark, str(tmp_path / "feed.json")).collect()
+    header = "order_item_id,order_id,product_id,quantity,unit_price,updated_at,line_amount\n"
+    (tmp_path / "items.csv").write_text(header + "I1,O1,P1,many,1.00,2026-01-01T00:00:00Z,1.00\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        inputs.read_item_fixture(spark, str(tmp_path / "items.csv")).collect()
 
 
 def test_unknown_sources_are_refused(spark, tmp_path):

@@ -93,7 +93,7 @@ def test_order_with_most_of_the_payments(spark):
     tables = silver(spark, payments=payments)
     plain, split = (
         quality.payment_mismatches(tables["payments"], tables["order_items"], policy)
-        for policy in (SkewPolicy(), SkewPolicy(min_input_bytes=0, rows_per_task=7))
+        for policy in (SkewPolicy(), SkewPolicy(split=True, rows_per_task=7))
     )
     expected = sorted(r["payment_id"] for r in plain.collect())
     wrong = [p for p in payments if p[3] != (11 if p[1] == "O1" else 2)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shopledger import session
 from shopledger.operators import SkewPolicy, hot_keys, input_bytes, skew, skew_join
 
-POLICY = SkewPolicy(min_input_bytes=0, rows_per_task=20)
+POLICY = SkewPolicy(split=True, rows_per_task=20)
 
 
 def _rows(count, seed, hot_key=None):
@@ -56,7 +56,7 @@ def test_number_of_hot_keys_is_bounded(spark, monkeypatch):
     reached by any of them, and by at most four keys of anything."""
     rows = [(f"k{i % 12}",) for i in range(120)] + [("big",)] * 60
     df = spark.createDataFrame(rows, "k string")
-    policy = SkewPolicy(min_input_bytes=0, rows_per_task=9)
+    policy = SkewPolicy(split=True, rows_per_task=9)
     assert hot_keys(df, "k", policy).count() == 13
     monkeypatch.setattr(skew, "MOST_HOT_KEYS", 5)
     assert [tuple(r) for r in hot_keys(df, "k", policy).collect()] == [("big", 7)]
@@ -77,7 +77,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
         F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"),
     )
     right = left.select("k").distinct().withColumn("rid", F.col("k"))
-    hot = hot_keys(left, "k", SkewPolicy(min_input_bytes=0, rows_per_task=500))
+    hot = hot_keys(left, "k", SkewPolicy(split=True, rows_per_task=500))
     options = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.enabled": "false",

@@ -74,7 +74,7 @@ def test_hot_orders_customers_and_products(spark, rows_per_task):
         for i in range(60)
     ]
     tables = silver(spark, orders=orders, payments=payments, order_items=items)
-    policy = SkewPolicy(min_input_bytes=0, rows_per_task=rows_per_task)
+    policy = SkewPolicy(split=True, rows_per_task=rows_per_task)
     plain, split = fact_sales(tables), fact_sales(tables, policy)
     assert plain.columns == split.columns
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
@@ -167,7 +167,7 @@ def test_products_that_share_a_name_count_an_order_once(spark):
         (p, "pen", "Office", Decimal("2.00"), True, at(1), at(1)) for p in ("P1", "P2")
     ]
     warehouse = build_warehouse(silver(spark, products=products))
-    for policy in (SkewPolicy(), SkewPolicy(min_input_bytes=0, rows_per_task=1)):
+    for policy in (SkewPolicy(), SkewPolicy(split=True, rows_per_task=1)):
         mart = marts.product_performance(
             warehouse["fact_sales"], warehouse["dim_product"], policy
         )

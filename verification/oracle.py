@@ -14,18 +14,18 @@ def _key(column: str) -> str:
     return f"CAST('0x' || substr(md5({column}), 1, 15) AS BIGINT)"
 
 
-def _events(where: str) -> str:
+def _events(other: str) -> str:
     return f"""
     SELECT {_id('EVT', 'event_id')} AS event_id,
            'camp-' || CAST(CAST(props->>'$.k' AS INTEGER) % 10 AS VARCHAR) AS campaign_id,
            CASE event_id % 4 WHEN 0 THEN ' Email ' WHEN 1 THEN 'SOCIAL'
                 WHEN 2 THEN 'search' ELSE 'Affiliate' END AS channel,
            {_id('CUST', 'user_id')} AS customer_id,
-           CASE WHEN event_type = 'purchase' THEN 'Conversion' ELSE event_type END AS event_type,
+           CASE WHEN event_type = 'purchase' THEN 'Conversion' ELSE {other} END AS event_type,
            value AS revenue,
            ts AS event_timestamp,
            ts + INTERVAL 5 MINUTE AS updated_at
-    FROM events {where}"""
+    FROM events"""
 
 
 def _silver_events(source: str) -> str:
@@ -87,8 +87,8 @@ _VIEWS = {
     FROM orders LEFT JOIN (
         SELECT order_id, SUM(CAST(quantity * unit_price AS DECIMAL(12,2))) AS item_total
         FROM latest_items GROUP BY order_id) t ON t.order_id = {_id('ORD', 'o_orderkey')}""",
-    "src_campaign_events": _events("WHERE event_type IN ('click', 'purchase')"),
-    "src_all_events": _events(""),
+    "src_campaign_events": _events("'click'"),
+    "src_all_events": _events("event_type"),
     "s_customers": f"""
     SELECT customer_id, sha256(email || ':{SALT}') AS email_hash,
            '***-***-' || right(phone, 4) AS phone_masked, city AS customer_city,

@@ -46,7 +46,7 @@ WATERMARKS = {
 }
 # Splits every key with more rows than this, whatever the table size, so that
 # the split joins can be compared with the plain ones on the sample.
-FORCED_SKEW = SkewPolicy(min_input_bytes=0, rows_per_task=3)
+FORCED_SKEW = SkewPolicy(split=True, rows_per_task=3)
 
 
 def portable(df: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ class Sample:
 
     @property
     def faulty(self):
-        all_events = campaign_events(self.spark, self.folder, kept=None)
+        all_events = campaign_events(self.spark, self.folder, raw_types=True)
         clean = dict(self.silver)
         clean["campaign_events"] = silver_table("campaign_events", all_events, salt=SALT)
         return faulty_silver(clean)
