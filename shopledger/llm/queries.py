@@ -14,6 +14,7 @@ from shopledger.llm import (
     mixing,
     multi_index,
     ngram_join,
+    oracle,
     packing,
     quality_rules,
     suffix_repeats,
@@ -88,3 +89,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_interval_expansion,
     )
     return {f.__name__: f for f in listed}
+
+
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL with the same result, for the queries that SQL can express."""
+    return dict(oracle.ORACLES)

@@ -21,11 +21,13 @@ from shopledger.llm import (
     multi_index,
     ngram_join,
     packing,
+    queries,
     quality_rules,
     suffix_repeats,
     token_prefix,
     url_lists,
 )
+from verification.compare import connect, differences
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 DOC = "doc_id long, text string, lang string, source string, n_chars long, n string, print string, label string"
@@ -264,3 +266,10 @@ def test_search_recalls_the_nearest(spark):
         hits += len({v for v, _ in near} & set(np.argsort(-scores)[:20].tolist()))
     assert hits >= 0.9 * 20 * len(got)
     assert multi_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), every=20, top=20).count() == 0
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_query_equals_its_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    result = queries.registered()[name](spark, folder)
+    assert differences(result, connect(folder), queries.oracle_sql()[name]) is None
