@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,9 +35,13 @@ def _local_folder() -> str:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for tables written within a job, in the place the cluster
-    names for checkpoints. Only where none is named, as in a plain local session,
-    is it a folder of this machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    names for checkpoints. A session on one machine that names none gets a folder
+    of this machine; a cluster must name one."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/shopledger-{uuid.uuid4().hex}"
 
 
@@ -48,14 +53,15 @@ MOST_PARTITIONS = 40_000
 
 
 @contextmanager
-def sized_shuffles(spark: SparkSession, *inputs: DataFrame) -> Iterator[None]:
-    """Raise ``spark.sql.shuffle.partitions`` to suit the largest input while
-    the block runs. AQE merges partitions that turn out small, but it cannot
-    make more of them than the setting says."""
+def sized_shuffles(spark: SparkSession, *inputs: DataFrame, most: int = MOST_PARTITIONS) -> Iterator[None]:
+    """Raise ``spark.sql.shuffle.partitions`` to suit the largest input, up to
+    ``most``, while the block runs. AQE merges partitions that turn out small, but
+    it cannot make more of them than the setting says. The setting is the session's:
+    run one block at a time in a session."""
     name = "spark.sql.shuffle.partitions"
     before = int(spark.conf.get(name))
     largest = max((input_bytes(df) or 0 for df in inputs), default=0)
-    wanted = min(largest // BYTES_PER_PARTITION, MOST_PARTITIONS)
+    wanted = min(largest // BYTES_PER_PARTITION, most)
     spark.conf.set(name, str(max(before, wanted)))
     try:
         yield

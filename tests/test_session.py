@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pytest
+
 from shopledger import session
 from shopledger.session import shared_folder
 from shopledger.sources.lake import written
@@ -29,3 +31,11 @@ def test_written_tables_end_the_lineage(spark):
         map(tuple, tables["order_items"].collect())
     )
     assert all(folder.rsplit("/", 1)[1] in path for path in copy["order_items"].inputFiles())
+
+
+def test_a_cluster_must_name_the_shared_folder():
+    class Cluster:
+        conf = {"spark.master": "spark://host:7077"}
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_folder(Cluster)
