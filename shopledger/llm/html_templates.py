@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 # A subtree is a template of its host from this many pages on, and this share of them.
 LEAST_PAGES = 5
 LEAST_SHARE = 0.01
+# Pages of one host that a task takes together, and the most hosts that are split;
+# beyond so many, a part holds one page in MOST_SPLIT_HOSTS of all.
+PAGES_AT_ONCE = 500
+MOST_SPLIT_HOSTS = 10_000
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -261,9 +265,28 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     Null or empty html gives empty text. Pages whose url has no host have no site
     template. Repeated rows stay and count as one page text."""
-    # The templates of a host are few elements, so a host's set is one short list.
-    templates = site_templates(pages).groupBy("host").agg(F.collect_set("subtree").alias("templates"))
     rows = pages.select("page_id", "url", "html", _host().alias("host"))
-    return rows.join(templates, "host", "left").select("page_id", "url", "html", "templates").mapInArrow(
+    least = max(PAGES_AT_ONCE, pages.count() // MOST_SPLIT_HOSTS)
+    # At most MOST_SPLIT_HOSTS rows, as each stands for more pages than one in so many.
+    split = (
+        rows.groupBy("host")
+        .agg(F.ceil(F.count("*") / least).cast("int").alias("parts"))
+        .where("parts > 1 and host is not null")
+    )
+    last = F.coalesce("parts", F.lit(1)).cast("long") - 1
+    # The templates of a host are few elements, so a host's set is one short list.
+    templates = (
+        site_templates(pages)
+        .groupBy("host")
+        .agg(F.collect_set("subtree").alias("templates"))
+        .join(F.broadcast(split), "host", "left")
+        .select("host", "templates", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("part"))
+    )
+    # A large host's pages are dealt over its parts, those without host over all tasks.
+    spread = F.xxhash64("page_id", "url", "html")
+    rows = rows.join(F.broadcast(split), "host", "left").withColumn(
+        "part", F.when(F.col("host").isNull(), spread).otherwise(F.pmod(spread, F.coalesce("parts", F.lit(1))))
+    )
+    return rows.join(templates, ["host", "part"], "left").select("page_id", "url", "html", "templates").mapInArrow(
         _extract, "page_id long, url string, text string, n_chars long"
     )
