@@ -22,8 +22,8 @@ from shopledger.plans.warehouse import (
 )
 from shopledger.schemas import (
     EPOCH_WATERMARK,
-    LEDGER_SCHEMA,
     MINIMUM_ROWS,
+    PUBLISH_LOG_SCHEMA,
     QUALITY_LOG_SCHEMA,
     RAW_PERSONAL_COLUMNS,
     SOURCES,
@@ -64,7 +64,7 @@ def extract_source(
     """Append the changed rows of one source to Bronze. The watermark is logged
     after the batch is written, so a lost run is read again, never skipped."""
     if source not in SOURCES:
-        raise ValueError(f"Unsupported source table: {source}")
+        raise ValueError(f"No source is named {source!r}")
     before = watermark or datetime.fromisoformat(EPOCH_WATERMARK)
     batch = changed_since(table, before, lookback=lookback)
     seen = store.append_bronze(
@@ -179,11 +179,12 @@ def load(
     run_id: str,
     policy: SkewPolicy = SkewPolicy(),
     verified: bool = False,
+    silver_slot: str | None = None,
 ) -> dict:
-    """Build the star schema in the staging slot, assert on what was written,
-    then publish it and record the run. ``verified`` if the gate has passed
-    this very Silver."""
-    slot = store.staging_slot(spark, lake, "warehouse")
+    """Build the star schema in a slot of its own, assert on what was written, then
+    publish it and record the run. ``verified`` if the gate has passed this very
+    Silver; ``silver_slot`` if that is to go live in the same commit."""
+    slot = store.new_slot(run_id)
     objects = build_warehouse(silver, policy, verified=verified)
     for fact in FACTS:
         # Rows of a file are put in date order: row groups then carry narrow
@@ -199,16 +200,22 @@ def load(
         metrics = load_assertions(silver, written).first().asDict()
     require_loaded(metrics)
     loaded_at = _now()
-    store.publish_slot(spark, lake, "warehouse", slot, run_id=run_id, at=loaded_at)
-    row = runs.ledger_row(
-        run_id, loaded_at, metrics["fact_sales_rows"], metrics["fact_campaign_rows"]
-    )
-    store.append_log(spark, lake, "pipeline_runs", [row], LEDGER_SCHEMA)
+    slots = {"warehouse": slot} if silver_slot is None else {"silver": silver_slot, "warehouse": slot}
+    store.publish_slots(spark, lake, slots, run_id=run_id, at=loaded_at, loaded=metrics)
     return {"run_id": run_id, "loaded_at": loaded_at, "slot": slot, **metrics}
 
 
 def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
-    return runs.current_runs(store.read_log(spark, lake, "pipeline_runs", LEDGER_SCHEMA))
+    """One row per loaded run, from the publications of the warehouse."""
+    log = store.read_log(spark, lake, "publications", PUBLISH_LOG_SCHEMA)
+    loads = log.where(F.col("layer") == "warehouse").select(
+        "run_id",
+        F.col("published_at").alias("loaded_at"),
+        "fact_sales_rows",
+        "fact_campaign_rows",
+        F.lit("success").alias("status"),
+    )
+    return runs.current_runs(loads)
 
 
 def live_silver(spark: SparkSession, lake: Lake) -> Silver:
@@ -240,15 +247,16 @@ def run(
     live Silver and warehouse untouched."""
     run_id = run_id or new_run_id()
     extraction = extract_all(spark, lake, sources, run_id=run_id, lookback=lookback)
-    slot = store.staging_slot(spark, lake, "silver")
+    slot = store.new_slot(run_id)
     transformation = transform(spark, lake, slot, salt=salt, run_id=run_id)
     silver = store.read_silver(spark, lake, slot)
     report = gate(
         spark, lake, silver, run_id=run_id, minimum_rows=minimum_rows, policy=policy
     )
     # The gate above raised unless every key of this Silver is known and unique.
-    warehouse = load(spark, lake, silver, run_id=run_id, policy=policy, verified=True)
-    store.publish_slot(spark, lake, "silver", slot, run_id=run_id, at=_now())
+    warehouse = load(
+        spark, lake, silver, run_id=run_id, policy=policy, verified=True, silver_slot=slot
+    )
     return {
         "run_id": run_id,
         "extract": extraction,
@@ -259,7 +267,8 @@ def run(
 
 
 def publish_silver(spark: SparkSession, lake: Lake, target: Lake) -> dict:
-    """Copy live Silver to another lake, if the last loaded run passed its gate."""
+    """Copy live Silver to another lake and make it live there, if the last loaded
+    run passed its gate."""
     log = store.read_log(spark, lake, "quality", QUALITY_LOG_SCHEMA)
     allowed = runs.publishable_run(ledger(spark, lake), log).first()
     if allowed is None:
@@ -267,7 +276,9 @@ def publish_silver(spark: SparkSession, lake: Lake, target: Lake) -> dict:
     live = store.live_publication(spark, lake, "silver")
     if live is None or live["run_id"] != allowed["run_id"]:
         raise store.PublishError(f"Silver of run {allowed['run_id']} is not the published one.")
-    counts = store.copy_silver(spark, lake, live["slot"], target)
+    slot = store.new_slot(live["run_id"])
+    counts = store.copy_silver(spark, lake, live["slot"], target, slot)
+    store.publish_slots(spark, target, {"silver": slot}, run_id=live["run_id"], at=_now())
     return {"quality_run_id": allowed["run_id"], "rows": counts}
 
 
@@ -308,7 +319,7 @@ def acceptance(
     first = run(spark, lake, sources, run_id=f"{new_run_id()}-first", **options)
     first_sales = live_warehouse(spark, lake)["fact_sales"]
     second = run(spark, lake, sources, run_id=f"{new_run_id()}-second", **options)
-    # The second load went to the other slot, so both are there to compare.
+    # Each load has a slot of its own, so both are there to compare.
     warehouse, silver = live_warehouse(spark, lake), live_silver(spark, lake)
     compared = runs.idempotency(first_sales, warehouse["fact_sales"])
     idempotency = compared.first().asDict()

@@ -176,13 +176,3 @@ def evidence(
         _listed("objects", objects, "object_name", F.col("row_count")),
     ]
     return reduce(DataFrame.unionByName, sections)
-
-
-def ledger_row(run_id: str, loaded_at: datetime, sales: int, events: int) -> dict:
-    return {
-        "run_id": run_id,
-        "loaded_at": loaded_at,
-        "fact_sales_rows": sales,
-        "fact_campaign_rows": events,
-        "status": "success",
-    }

@@ -149,4 +149,12 @@ QUALITY_LOG_SCHEMA = _schema(
     blocking=T.BooleanType(),
     detail=_TEXT,
 )
-PUBLISH_LOG_SCHEMA = _schema(layer=_TEXT, run_id=_TEXT, slot=_TEXT, published_at=_TIME)
+# One row per layer; rows of one commit are one file. The counts are those of a load.
+PUBLISH_LOG_SCHEMA = _schema(
+    layer=_TEXT,
+    run_id=_TEXT,
+    slot=_TEXT,
+    published_at=_TIME,
+    fact_sales_rows=T.LongType(),
+    fact_campaign_rows=T.LongType(),
+)

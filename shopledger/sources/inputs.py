@@ -19,7 +19,7 @@ def require_source_table(table: str) -> str:
     """The name itself if it is one of the source tables; anything else is
     refused before it can reach a query."""
     if table not in SOURCE_TABLES:
-        raise ValueError(f"Unsupported source table: {table}")
+        raise ValueError(f"No table of the row store is named {table!r}")
     return table
 
 

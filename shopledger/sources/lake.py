@@ -1,18 +1,20 @@
 """Folders of the lake, and how each is written and read.
 
     bronze/<source>/ingested_date=/run_id=    append-only batches
-    silver/<slot>/<table>                     one slot is live, the other staged
+    silver/<slot>/<table>                     a slot is the output of one attempt of a run
     warehouse/<slot>/<object>                 likewise
     log/<name>                                small append-only tables
 
-Parquet folders cannot be swapped in one step, so Silver and the warehouse keep
-two slots. A run overwrites the slot that is not live, is judged on it, and then
-publishes by appending one row to the publish log. A run that fails, or an
-executor lost on the way, leaves the live slot as it was.
+Parquet folders cannot be swapped in one step, so every attempt of a run writes
+folders of its own, is judged on them, and then publishes Silver, warehouse and
+ledger by one file in the publish log. A run that fails, or a driver lost on the
+way, leaves what is live as it was. Slots stay readable after the next publication;
+whoever owns the lake removes those older than its longest reader.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -28,7 +30,6 @@ from shopledger.functions import utc_timestamps
 from shopledger.operators import latest_by_key
 from shopledger.schemas import PUBLISH_LOG_SCHEMA, SILVER_SCHEMAS, SOURCE_SCHEMAS
 
-SLOTS = ("a", "b")
 PARALLEL_WRITES = 6
 
 
@@ -117,7 +118,7 @@ def read_bronze(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     columns, so a filter on them prunes folders."""
     path = lake.bronze(source)
     if not has_parquet(spark, path):
-        raise FileNotFoundError(f"No Bronze files found for {source}: {path}")
+        raise FileNotFoundError(f"Source {source!r} has no batch in Bronze yet ({path})")
     schema = T.StructType(
         [
             *SOURCE_SCHEMAS[source].fields,
@@ -193,15 +194,36 @@ def live_slot(spark: SparkSession, lake: Lake, layer: str) -> str | None:
     return published["slot"] if published else None
 
 
-def staging_slot(spark: SparkSession, lake: Lake, layer: str) -> str:
-    return SLOTS[1] if live_slot(spark, lake, layer) == SLOTS[0] else SLOTS[0]
+def new_slot(run_id: str) -> str:
+    """A folder name no other attempt has, of this run or another."""
+    return f"{run_id}-{uuid.uuid4().hex[:12]}"
 
 
-def publish_slot(
-    spark: SparkSession, lake: Lake, layer: str, slot: str, *, run_id: str, at: datetime
+def publish_slots(
+    spark: SparkSession,
+    lake: Lake,
+    slots: Mapping[str, str],
+    *,
+    run_id: str,
+    at: datetime,
+    loaded: Mapping[str, int] | None = None,
 ) -> None:
-    row = {"layer": layer, "run_id": run_id, "slot": slot, "published_at": at}
-    append_log(spark, lake, "publications", [row], PUBLISH_LOG_SCHEMA)
+    """Make slots live, by layer, in one commit; ``loaded`` are the row counts of
+    the facts when the warehouse is among them."""
+    rows = []
+    for layer, slot in slots.items():
+        counts = loaded if loaded and layer == "warehouse" else {}
+        rows.append(
+            {
+                "layer": layer,
+                "run_id": run_id,
+                "slot": slot,
+                "published_at": at,
+                "fact_sales_rows": counts.get("fact_sales_rows"),
+                "fact_campaign_rows": counts.get("fact_campaign_rows"),
+            }
+        )
+    append_log(spark, lake, "publications", rows, PUBLISH_LOG_SCHEMA)
 
 
 def silver_file_plan(spark: SparkSession, lake: Lake, slot: str) -> dict[str, DataFrame]:
@@ -212,7 +234,7 @@ def silver_file_plan(spark: SparkSession, lake: Lake, slot: str) -> dict[str, Da
         path = lake.silver(slot, table)
         if not has_parquet(spark, path):
             raise PublishError(
-                f"Silver table {table!r} has no Parquet files. Run the pipeline first."
+                f"Nothing to publish for {table!r}: {path} holds no Parquet file"
             )
         plan[table] = parquet_files(spark, path)
     return plan
@@ -230,7 +252,7 @@ def publish_plan(spark: SparkSession, lake: Lake, slot: str) -> DataFrame:
     return result
 
 
-def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake) -> dict:
-    """Copy published Silver to another lake, replacing what is there."""
+def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake, target_slot: str) -> dict:
+    """Copy a Silver slot into a slot of another lake; row counts by table."""
     silver_file_plan(spark, lake, slot)
-    return stage_silver(spark, read_silver(spark, lake, slot), target, slot)
+    return stage_silver(spark, read_silver(spark, lake, slot), target, target_slot)

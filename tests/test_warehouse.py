@@ -140,7 +140,7 @@ def test_empty_load_reconciles(spark):
 def test_colliding_keys_are_refused(spark):
     tables = silver(spark)
     w = build_warehouse(tables)
-    w["dim_customer"] = w["dim_customer"].withColumn("customer_key", F.lit(1).cast("bigint"))
+    w["dim_customer"] = w["dim_customer"].withColumn("customer_key", F.lit("1"))
     with pytest.raises(WarehouseLoadError, match="collide"):
         require_loaded(loaded(tables, w))
 
