@@ -117,7 +117,7 @@ def test_raw_columns_are_found_by_name(spark):
     report = quality.run_gate(tables, run_id="r", minimum_rows=LOW, raise_on_failure=False)
     check = next(c for c in report["checks"] if c["check_name"] == quality.RAW_PII_ABSENT)
     assert check["failures"] == 2
-    assert check["detail"] == "Forbidden columns found: address, email"
+    assert check["detail"] == "Personal data in Silver: address, email"
 
 
 def test_bad_fixture_is_blocked(spark, tmp_path):
