@@ -28,9 +28,15 @@ from shopledger.llm.scratch import written
 CELLS = 1 << 16
 # Posteriors are rounded to multiples of 1 / GRID.
 GRID = 1024
-# Labelled rows, chosen by a hash of their number, that set the sharpness of the
-# posteriors. The word counts are of all labelled rows.
+# Labelled rows, chosen by a hash of their text, that set cutoff and sharpness, each
+# judged by the word counts of the half of the labelled rows it is not in.
 SHARPNESS_ROWS = 5_000
+# A word counts if it is in so many labelled documents, and their number in a domain is
+# off from its share of all by more than one of the cutoffs, in standard deviations.
+LEAST_DOCUMENTS = 5
+CUTOFFS = (2.0, 3.0, 4.0, 6.0, 8.0, 10.0, 12.0)
+# Documents by which a word's rate in a domain is drawn to its rate in all.
+SMOOTHING = 10.0
 MOST_STEPS = 200
 # The steps end when no domain is off by more than this share of all tokens.
 CLOSE_ENOUGH = 1e-4
@@ -38,98 +44,121 @@ CLOSE_ENOUGH = 1e-4
 
 @dataclass(frozen=True)
 class Classifier:
-    """log P(word cell | domain) against the mean of the domains, log priors, and the
-    sharpness by which a document's evidence, a sum over words, is scaled."""
+    """Log of a word cell's rate of documents in each domain against its rate in all,
+    log priors, and the sharpness by which a document's evidence, the sum over its
+    distinct cells, is scaled."""
 
     domains: tuple[str, ...]
     weights: np.ndarray
     priors: np.ndarray
     sharpness: float
 
-    def posteriors(self, evidence: np.ndarray, words: np.ndarray) -> np.ndarray:
-        scores = self.priors + self.sharpness * evidence / np.sqrt(np.maximum(words, 1))[:, None]
+    def posteriors(self, evidence: np.ndarray) -> np.ndarray:
+        scores = self.priors + self.sharpness * evidence
         scores = np.exp(scores - scores.max(1, keepdims=True))
         return scores / scores.sum(1, keepdims=True)
 
 
-def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _cells(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct cells of each text, where each text's begin, and its number of words."""
     hashes, firsts = word_hashes(texts)
-    return (hashes >> np.uint64(48)).astype(np.int64), firsts
+    words = np.diff(firsts)
+    text = np.repeat(np.arange(len(texts)), words)
+    found = np.unique(text * CELLS + (hashes >> np.uint64(48)).astype(np.int64))
+    return found % CELLS, np.searchsorted(found, np.arange(len(texts) + 1) * CELLS), words
 
 
 def _evidence(texts: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum of the weights over the words of each text, and its number of words."""
-    cells, firsts = _cells(texts)
+    """Sum of the weights over the distinct cells of each text, and its number of words."""
+    cells, firsts, words = _cells(texts)
     sums = np.zeros((len(cells) + 1, weights.shape[1]))
     np.cumsum(weights[cells], axis=0, out=sums[1:])
-    return sums[firsts[1:]] - sums[firsts[:-1]], np.diff(firsts)
+    return sums[firsts[1:]] - sums[firsts[:-1]], words
 
 
-def _word_counts(domains: int):
+def _document_counts(domains: int):
+    """Documents of each half and domain that hold a cell."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((CELLS, domains), dtype=np.int64)
+        kinds = 2 * domains
+        counts = np.zeros(CELLS * kinds, dtype=np.int64)
         for batch in batches:
-            texts, domain = texts_of(batch.column("text")), batch.column("domain").to_numpy()
+            texts = texts_of(batch.column("text"))
+            kind = batch.column("half").to_numpy() * domains + batch.column("domain").to_numpy()
             for a, b in chunks(texts):
-                cells, firsts = _cells(texts[a:b])
-                of = np.repeat(domain[a:b], np.diff(firsts))
-                counts += np.bincount(cells * domains + of, minlength=CELLS * domains).reshape(CELLS, domains)
-        cell, domain = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell), pa.array(domain), pa.array(counts[cell, domain])], ["cell", "domain", "n"]
-        )
+                cells, firsts, _ = _cells(texts[a:b])
+                counts += np.bincount(cells * kinds + np.repeat(kind[a:b], np.diff(firsts)), minlength=CELLS * kinds)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["at", "n"])
 
     return run
 
 
+def _weights(counts: np.ndarray, rows: np.ndarray, cutoff: float) -> np.ndarray:
+    """Weights of the cells from their documents per domain and all documents per domain."""
+    documents = counts.sum(1, keepdims=True)
+    rate = documents / max(rows.sum(), 1)
+    expected = rate * rows
+    telling = (np.abs(counts - expected) > cutoff * np.sqrt(expected)).any(1, keepdims=True)
+    drawn = (counts + SMOOTHING * rate) / (rows + SMOOTHING)
+    logs = np.log(np.where(documents > 0, drawn, 1) / np.where(documents > 0, rate, 1))
+    return np.where(telling & (documents >= LEAST_DOCUMENTS), logs - logs.mean(1, keepdims=True), 0)
+
+
 def learn(labelled: DataFrame, domains: tuple[str, ...]) -> Classifier:
     """A classifier from rows with ``text`` and ``domain``, the number of a domain.
-    Word counts are summed over all rows; the sharpness is the one with the best
-    likelihood on a bounded sample. Without rows all posteriors are alike."""
+    Word counts are summed over all rows; cutoff and sharpness are those with the best
+    likelihood on a bounded sample, of which each row is judged by the counts of the
+    other half of the rows (copies of a text are in the same half). Without rows all
+    posteriors are alike."""
     k = len(domains)
-    counts = np.zeros((CELLS, k))
-    # At most CELLS * k rows.
-    for r in (
-        labelled.mapInArrow(_word_counts(k), "cell long, domain long, n long")
-        .groupBy("cell", "domain")
-        .agg(F.sum("n").alias("n"))
-        .collect()
-    ):
-        counts[r["cell"], r["domain"]] = r["n"]
-    logs = np.log((counts + 0.5) / (counts + 0.5).sum(0))
-    weights = logs - logs.mean(1, keepdims=True)
-    rows = np.zeros(k)
-    for r in labelled.groupBy("domain").count().collect():
-        rows[r["domain"]] = r["count"]
-    priors = np.log((rows + 1) / (rows + 1).sum())
+    labelled = labelled.withColumn("half", F.xxhash64("text").bitwiseAND(1).cast("int"))
+    # At most 2 * CELLS * k rows.
+    found = (
+        labelled.mapInArrow(_document_counts(k), "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    )
+    counts = np.zeros(CELLS * 2 * k)
+    counts[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    counts = counts.reshape(CELLS, 2, k)
+    rows = np.zeros((2, k))
+    for r in labelled.groupBy("half", "domain").count().collect():
+        rows[r["half"], r["domain"]] = r["count"]
+    priors = np.log((rows.sum(0) + 1) / (rows.sum(0) + 1).sum())
+    # For the rows of a half: the weights of the other, all cutoffs side by side.
+    others = [np.hstack([_weights(counts[:, 1 - h], rows[1 - h], c) for c in CUTOFFS]).astype(np.float32) for h in (0, 1)]
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, words = _evidence(texts_of(batch.column("text")), weights)
+            texts, half = texts_of(batch.column("text")), batch.column("half").to_numpy()
+            sums = np.zeros((len(texts), others[0].shape[1]))
+            for a, b in chunks(texts):
+                for h in (0, 1):
+                    mine = a + np.flatnonzero(half[a:b] == h)
+                    if len(mine):
+                        sums[mine] = _evidence([texts[i] for i in mine], others[h])[0]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("domain"), pa.array(words), pa.array(found.tolist(), type=pa.list_(pa.float64()))],
-                ["domain", "words", "evidence"],
+                [batch.column("domain"), pa.array(sums.tolist(), type=pa.list_(pa.float64()))], ["domain", "evidence"]
             )
 
     sample = (
-        labelled.select("text", "domain", F.xxhash64("text").alias("h"))
+        labelled.select("text", "domain", "half", F.xxhash64("text").alias("h"))
         .orderBy("h")
         .limit(SHARPNESS_ROWS)
         .drop("h")
-        .mapInArrow(evidence, "domain int, words long, evidence array<double>")
+        .mapInArrow(evidence, "domain int, evidence array<double>")
         .collect()
     )
-    best, sharpness = -np.inf, 0.0
+    best, cutoff, sharpness = -np.inf, CUTOFFS[0], 0.0
     if sample:
-        found = np.array([r["evidence"] for r in sample])
-        words = np.array([r["words"] for r in sample])
+        held = np.array([r["evidence"] for r in sample]).reshape(len(sample), len(CUTOFFS), k)
         truth = np.array([r["domain"] for r in sample])
-        for s in (0.0, *np.geomspace(0.02, 8, 24)):
-            p = Classifier(domains, weights, priors, s).posteriors(found, words)
-            fit = np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
-            if fit > best:
-                best, sharpness = fit, float(s)
-    return Classifier(domains, weights, priors, sharpness)
+        for i, c in enumerate(CUTOFFS):
+            for s in (0.0, *np.geomspace(0.02, 8, 24)):
+                p = Classifier(domains, others[0], priors, s).posteriors(held[:, i])
+                fit = np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean()
+                if fit > best:
+                    best, cutoff, sharpness = fit, c, float(s)
+    return Classifier(domains, _weights(counts.sum(1), rows.sum(0), cutoff), priors, sharpness)
 
 
 def classified(docs: DataFrame, model: Classifier) -> DataFrame:
@@ -143,7 +172,7 @@ def classified(docs: DataFrame, model: Classifier) -> DataFrame:
             for a, b in chunks(texts):
                 found, words = _evidence(texts[a:b], model.weights)
                 tokens.append(words)
-                grids.append(np.rint(model.posteriors(found, words) * GRID).astype(np.int64))
+                grids.append(np.rint(model.posteriors(found) * GRID).astype(np.int64))
             if not texts:
                 continue
             yield pa.RecordBatch.from_arrays(

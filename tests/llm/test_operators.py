@@ -246,6 +246,28 @@ def test_mixture_meets_its_targets(spark):
     assert mixing.mixed(docs.limit(0), labels, targets=[0.7, 0.2, 0.1]).count() == 0
 
 
+def test_unlabelled_toxic_documents_are_known(spark):
+    # Each document has rare words of its own, which say nothing of other documents.
+    pick = random.Random(5)
+    insults = [f"insult{i}" for i in range(10)]
+    rows, marks = [], []
+    for i in range(1200):
+        words = [pick.choice(("the", "of", "and")) if pick.random() < 0.4 else f"w{int(pick.paretovariate(0.4)) % 10**7}" for _ in range(150)]
+        toxic = i % 8 == 0
+        for _ in range(3 * toxic):
+            words[pick.randrange(150)] = pick.choice(insults)
+        rows.append((i, " ".join(words)))
+        if i % 16 < 8:
+            marks.append((i, int(i % 16 != 1), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    out = mixing.mixed(docs, labels, targets=[0.8, 0.17, 0.03]).toPandas()
+    held = out[out["doc_id"] % 16 >= 8]
+    toxic = held["doc_id"] % 8 == 0
+    assert (held["p_toxic"][toxic] > 0.5).mean() > 0.8 and (held["p_toxic"][~toxic] > 0.5).mean() < 0.02
+    assert held["rate"][toxic].mean() < 0.4 < 0.9 < held["rate"][~toxic].mean()
+
+
 def test_search_recalls_the_nearest(spark):
     draw = np.random.default_rng(0)
     vectors = {i: draw.normal(size=16).astype(np.float32).tolist() for i in range(600)}
