@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.llm import (
+    hard_negatives,
     hash_ring,
     html_templates,
+    merkle,
     mixing,
     multi_index,
     ngram_join,
@@ -20,6 +22,7 @@ from shopledger.llm import (
     suffix_repeats,
     token_prefix,
     url_lists,
+    window_packing,
 )
 
 
@@ -75,6 +78,19 @@ def op10_interval_expansion(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_repeats.removal_report(_table(spark, folder, "documents"), length=200)
 
 
+def op11_best_fit_windows(spark: SparkSession, folder: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return window_packing.packing_report(_table(spark, folder, "documents"), vocabulary=vocabulary, end_id=1, size=2048)
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audited(_table(spark, folder, "documents"))
+
+
+def op13_angular_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mined(_table(spark, folder, "embeddings"), every=100)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_soft_mixing,
@@ -87,6 +103,9 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_best_two_fit,
         op9_adaptive_quality,
         op10_interval_expansion,
+        op11_best_fit_windows,
+        op12_merkle_manifest,
+        op13_angular_negatives,
     )
     return {f.__name__: f for f in listed}
 
