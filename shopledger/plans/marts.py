@@ -59,9 +59,9 @@ def executive_summary(sales: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
-    """One row per day with sales, in date order."""
-    days = (
+def day_totals(sales: DataFrame) -> DataFrame:
+    """Revenue, orders and units of each day, by its key."""
+    return (
         sales_by_order(sales)
         .groupBy("date_key")
         .agg(
@@ -70,6 +70,14 @@ def daily_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
             F.sum("units").alias("units"),
         )
     )
+
+
+def daily_sales(sales: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per day with sales, in date order."""
+    return daily_view(day_totals(sales), dates)
+
+
+def daily_view(days: DataFrame, dates: DataFrame) -> DataFrame:
     return (
         days.join(dates.select("date_key", "calendar_date"), "date_key")
         .select(
@@ -108,17 +116,25 @@ def product_performance(
     )
 
 
-def customer_segments(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """Customers, orders and revenue by segment. Sales are reduced to one row
-    per customer before the join, so a customer with a large share of all orders
-    is one row there, and both distinct counts become sums."""
-    per_customer = (
+def customer_totals(sales: DataFrame) -> DataFrame:
+    """Revenue and orders of each customer, by its key."""
+    return (
         sales_by_order(sales)
         .groupBy("customer_key")
         .agg(F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("orders"))
     )
+
+
+def customer_segments(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Customers, orders and revenue by segment. Sales are reduced to one row
+    per customer before the join, so a customer with a large share of all orders
+    is one row there, and both distinct counts become sums."""
+    return segment_view(customer_totals(sales), customers)
+
+
+def segment_view(totals: DataFrame, customers: DataFrame) -> DataFrame:
     return (
-        per_customer.join(customers.select("customer_key", "customer_segment"), "customer_key")
+        totals.join(customers.select("customer_key", "customer_segment"), "customer_key")
         .groupBy("customer_segment")
         .agg(
             F.count(F.lit(1)).alias("customers"),
@@ -128,20 +144,28 @@ def customer_segments(sales: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def campaign_performance(events: DataFrame, channels: DataFrame) -> DataFrame:
-    """Clicks, conversions, revenue and conversion rate by campaign and channel."""
-    groups = events.groupBy("campaign_id", "channel_key").agg(
+def campaign_totals(events: DataFrame) -> DataFrame:
+    """Events, clicks, conversions and revenue by campaign and channel key."""
+    return events.groupBy("campaign_id", "channel_key").agg(
         F.count_if(F.col("event_type") == "click").alias("clicks"),
         F.count_if(F.col("event_type") == "conversion").alias("conversions"),
-        F.round(F.sum("revenue"), 2).alias("attributed_revenue"),
+        F.sum("revenue").alias("revenue"),
         F.count(F.lit(1)).alias("events"),
     )
-    return groups.join(channels, "channel_key").select(
+
+
+def campaign_performance(events: DataFrame, channels: DataFrame) -> DataFrame:
+    """Clicks, conversions, revenue and conversion rate by campaign and channel."""
+    return campaign_view(campaign_totals(events), channels)
+
+
+def campaign_view(totals: DataFrame, channels: DataFrame) -> DataFrame:
+    return totals.join(channels, "channel_key").select(
         "campaign_id",
         "channel",
         "clicks",
         "conversions",
-        "attributed_revenue",
+        F.round("revenue", 2).alias("attributed_revenue"),
         percent(F.col("conversions"), F.col("events")).alias("conversion_rate_percent"),
     )
 

@@ -1,29 +1,52 @@
-"""Extract, Silver, gate, load: each layer is written, judged, then published."""
+"""Extract, Silver, gate, load: each layer is written, judged, then published.
+
+After the first run, a run does work in proportion to what changed: new batches are
+merged into the Silver buckets they touch, the sales of affected orders are rebuilt on
+the days they lie or lay on, and mart states move by the difference.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shopledger.functions import date_key
 from shopledger.operators import SkewPolicy, changed_since
 from shopledger.plans import marts, quality, runs
-from shopledger.plans.silver import Silver, build_silver, row_counts
+from shopledger.plans.silver import (
+    Silver,
+    build_silver,
+    changes,
+    changes_schema,
+    row_counts,
+    shaped,
+    silver_table,
+    with_changes,
+)
+from shopledger.plans.states import STATES, activity, dim_channel, dim_date, marts_of
 from shopledger.plans.warehouse import (
     DIMENSIONS,
     FACTS,
     Warehouse,
-    build_warehouse,
+    affected_days,
+    affected_orders,
+    dim_customer,
+    dim_product,
+    fact_campaign_events,
+    fact_sales,
     load_assertions,
     require_loaded,
+    sales_of_orders,
 )
 from shopledger.schemas import (
     EPOCH_WATERMARK,
     MINIMUM_ROWS,
-    PUBLISH_LOG_SCHEMA,
+    PRIMARY_KEYS,
     QUALITY_LOG_SCHEMA,
     RAW_PERSONAL_COLUMNS,
     SOURCES,
@@ -32,6 +55,7 @@ from shopledger.schemas import (
 from shopledger.session import sized_shuffles
 from shopledger.sources import lake as store
 from shopledger.sources.lake import Lake
+from shopledger.sources.parts import BUCKET, PartTable, Version, bucket_of
 
 
 def _now() -> datetime:
@@ -42,11 +66,25 @@ def new_run_id() -> str:
     return _now().strftime("%Y%m%dT%H%M%S%fZ")
 
 
-def watermarks(spark: SparkSession, lake: Lake) -> dict[str, datetime]:
-    """Current watermark of each source; at most one row per source. Each source
-    logs to its own partition folder."""
+def _watermark_log(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Each source logs to its own partition folder."""
     schema = T.StructType([*WATERMARK_SCHEMA.fields, T.StructField("source", T.StringType())])
-    log = store.read_log(spark, lake, "watermarks", schema)
+    return store.read_log(spark, lake, "watermarks", schema)
+
+
+def complete_batches(spark: SparkSession, lake: Lake) -> dict[tuple[str, str], str]:
+    """Folder of every batch, by source and batch id, whose extraction was logged. A
+    batch that an extraction left unfinished is not: its rows are extracted again."""
+    rows = _watermark_log(spark, lake).select("source", "batch", "run_id", "ingested_date").collect()
+    return {
+        (r["source"], r["batch"]): f"ingested_date={r['ingested_date']}/run_id={r['run_id']}/batch={r['batch']}"
+        for r in rows
+    }
+
+
+def watermarks(spark: SparkSession, lake: Lake) -> dict[str, datetime]:
+    """Current watermark of each source; at most one row per source."""
+    log = _watermark_log(spark, lake)
     rows = log.groupBy("source").agg(F.max("watermark").alias("watermark")).collect()
     return {row["source"]: row["watermark"].astimezone(timezone.utc) for row in rows}
 
@@ -67,8 +105,9 @@ def extract_source(
         raise ValueError(f"No source is named {source!r}")
     before = watermark or datetime.fromisoformat(EPOCH_WATERMARK)
     batch = changed_since(table, before, lookback=lookback)
+    today, batch_id = _now().date(), store.new_slot(source)
     seen = store.append_bronze(
-        batch, lake, source, run_id=run_id, ingested_date=_now().date()
+        batch, lake, source, run_id=run_id, ingested_date=today, batch_id=batch_id
     )
     after = before
     if seen["rows"]:
@@ -77,7 +116,7 @@ def extract_source(
             spark,
             lake,
             f"watermarks/source={source}",
-            [{"watermark": after, "run_id": run_id}],
+            [{"watermark": after, "run_id": run_id, "ingested_date": today, "batch": batch_id}],
             WATERMARK_SCHEMA,
         )
     return {
@@ -121,15 +160,82 @@ def extract_all(
     }
 
 
-def transform(spark: SparkSession, lake: Lake, slot: str, *, salt: str, run_id: str) -> dict:
-    """Rebuild Silver from all Bronze batches into a staging slot."""
-    bronze = {source: store.read_bronze(spark, lake, source) for source in SOURCES}
-    with sized_shuffles(spark, *bronze.values()):
-        counts = store.stage_silver(spark, build_silver(bronze, salt=salt), lake, slot)
+def _values(spark: SparkSession, df: DataFrame) -> list[int]:
+    """The values of a column that has at most as many as a table has parts."""
+    return sorted(row[0] for row in df.distinct().collect())
+
+
+def merge_table(
+    spark: SparkSession, lake: Lake, name: str, base: Version, slot: str, incoming: DataFrame, keys: DataFrame
+) -> tuple[list[int], list[int], dict[str, int]]:
+    """Merge the latest ``incoming`` rows of a Silver table into the buckets of ``base``
+    that they touch; the parts replaced and written, and the table's measures then.
+    ``keys`` holds at least the keys of ``incoming``."""
+    table, key = lake.silver(name), PRIMARY_KEYS[name]
+    held = base.parts.get(name, {})
+    bucket = bucket_of(key, base.buckets)
+    touched = _values(spark, keys.select(bucket))
+    current = table.read(spark, {b: held[b] for b in touched if b in held})
+    moves = [c.alias(m) for m, c in quality.changed_measures(name).items()]
+    seen = store.write_table(changes(name, current, incoming), lake.changes(name, slot), *moves)
+    changed = read_changes(spark, lake, name, slot)
+    moved = _values(spark, changed.select(f"now.{key}").select(bucket))
+    if moved:
+        current = table.read(spark, {b: held[b] for b in moved if b in held})
+        table.write(with_changes(name, current, changed).withColumn(BUCKET, bucket), slot)
+    measures = {
+        m: n + seen["rows_added" if m == "rows" else m] for m, n in base.measures[name].items()
+    }
+    return moved, table.written(spark, slot) if moved else [], measures
+
+
+def read_changes(spark: SparkSession, lake: Lake, name: str, slot: str) -> DataFrame:
+    return spark.read.schema(changes_schema(name)).parquet(lake.changes(name, slot))
+
+
+def merge_silver(
+    spark: SparkSession, lake: Lake, base: Version, slot: str, *, batches: Mapping[tuple[str, str], str], salt: str
+) -> Version:
+    """Silver after new batches (folders by source and batch id), as the last version
+    with the buckets they touch replaced. Equal to a rebuild from all batches, since
+    the latest of the latest is the latest."""
+    new = {key: folder for key, folder in batches.items() if key not in base.batches}
+    sources = [source for source in SOURCES if any(s == source for s, _ in new)]
+
+    def merge(name: str) -> tuple:
+        batch = store.read_batches(spark, lake, name, [f for (s, _), f in sorted(new.items()) if s == name])
+        keys = shaped(name, batch, salt=salt).select(PRIMARY_KEYS[name])
+        return merge_table(spark, lake, name, base, slot, silver_table(name, batch, salt=salt), keys)
+
+    version = base.carried(slot, base.slot)
+    for name, (replaced, written, measures) in zip(sources, store.in_parallel(spark, merge, sources)):
+        version = version.with_parts(name, replaced, written).with_measures(name, measures)
+    version = replace(version, batches=base.batches | set(new), changed=frozenset(sources))
+    version.save(spark, lake.version("silver", slot))
+    return version
+
+
+def transform(
+    spark: SparkSession, lake: Lake, slot: str, *, salt: str, run_id: str, rebuild: bool = False
+) -> dict:
+    """Silver of all Bronze batches as a version in a slot: what is live with the
+    batches that came since merged in, or, at first or to ``rebuild``, all made anew."""
+    base = None if rebuild else store.live_version(spark, lake, "silver")
+    batches = complete_batches(spark, lake)
+    if base is None:
+        bronze = {source: store.read_bronze(spark, lake, source) for source in SOURCES}
+        with sized_shuffles(spark, *bronze.values()):
+            version = store.stage_silver(
+                spark, build_silver(bronze, salt=salt), lake, slot, batches=batches, measures=quality.written_measures
+            )
+    else:
+        with sized_shuffles(spark, *store.read_silver(spark, lake, base).values()):
+            version = merge_silver(spark, lake, base, slot, batches=batches, salt=salt)
     return {
         "run_id": run_id,
         "completed_at": _now(),
-        "counts": counts,
+        "counts": {name: found["rows"] for name, found in version.measures.items()},
+        "merged_batches": len(version.batches) - len(base.batches if base else ()),
         "pii_removed_from_silver": list(RAW_PERSONAL_COLUMNS),
     }
 
@@ -144,8 +250,10 @@ def gate(
     minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
     policy: SkewPolicy = SkewPolicy(),
     raise_on_failure: bool = True,
+    measures: Mapping[str, Mapping[str, int]] | None = None,
 ) -> dict:
-    """Run the gate and log its check rows, then raise if it failed."""
+    """Run the gate and log its check rows, then raise if it failed. ``measures`` are
+    those of the Silver version, observed while it was written."""
     with sized_shuffles(spark, *silver.values()):
         report = quality.run_gate(
             silver,
@@ -154,6 +262,7 @@ def gate(
             minimum_rows=minimum_rows,
             policy=policy,
             raise_on_failure=False,
+            measures=measures,
         )
     rows = [
         {"run_id": run_id, "checked_at": report["checked_at"], **check}
@@ -165,12 +274,169 @@ def gate(
     return report
 
 
-def read_warehouse(spark: SparkSession, lake: Lake, slot: str) -> Warehouse:
+def _object(lake: Lake, name: str) -> PartTable:
+    return lake.warehouse(name, STATES[name].schema if name in STATES else None)
+
+
+def read_warehouse(spark: SparkSession, lake: Lake, slot: str | Version) -> Warehouse:
+    """Dimensions, facts and mart states of a version."""
+    version = slot if isinstance(slot, Version) else store.load_version(spark, lake, "warehouse", slot)
     return {
-        name: spark.read.parquet(lake.warehouse(slot, name)) for name in (*DIMENSIONS, *FACTS)
+        name: _object(lake, name).read(spark, version.parts.get(name, {}))
+        for name in (*DIMENSIONS, *FACTS, *STATES)
     }
 
 
+class _Loading:
+    """A warehouse version in the making."""
+
+    def __init__(self, spark: SparkSession, lake: Lake, version: Version) -> None:
+        self.spark, self.lake, self.version = spark, lake, version
+
+    def table(self, name: str, version: Version | None = None) -> DataFrame:
+        held = (version or self.version).parts.get(name, {})
+        return _object(self.lake, name).read(self.spark, held)
+
+    def put(self, name: str, df: DataFrame, replaced: list[int]) -> list[int]:
+        """Write parts of a table; the parts that came out. ``replaced`` ones go."""
+        at = _object(self.lake, name)
+        at.write(df, self.version.slot)
+        return at.written(self.spark, self.version.slot)
+
+    def put_all(self, tables: Mapping[str, tuple[DataFrame, list[int]]]) -> None:
+        names = list(tables)
+        done = store.in_parallel(self.spark, lambda name: self.put(name, *tables[name]), names)
+        for name, written in zip(names, done):
+            self.version = self.version.with_parts(name, tables[name][1], written)
+
+    def bucketed(self, name: str, df: DataFrame, key: str) -> DataFrame:
+        return df.withColumn(BUCKET, bucket_of(key, self.version.buckets))
+
+    def calendar(self, states: Mapping[str, DataFrame]) -> None:
+        """Dates and channels, a few thousand rows in one part."""
+        found = {"dim_date": dim_date(states), "dim_channel": dim_channel(states)}
+        self.put_all({n: (df.withColumn(BUCKET, F.lit(0)), [0]) for n, df in found.items()})
+
+    def states(self) -> dict[str, DataFrame]:
+        return {name: self.table(name) for name in STATES}
+
+
+def _load_all(load: _Loading, silver: Silver, policy: SkewPolicy, verified: bool) -> None:
+    """Every table from all of Silver."""
+    products = load.bucketed("dim_product", dim_product(silver["products"]), "product_id")
+    load.put_all(
+        {
+            "dim_customer": (load.bucketed("dim_customer", dim_customer(silver["customers"]), "customer_id"), []),
+            "dim_product": (products, []),
+            "fact_sales": (fact_sales(silver, policy, verified=verified), []),
+            "fact_campaign_events": (fact_campaign_events(silver, policy, verified=verified), []),
+        }
+    )
+    rows = {
+        "fact_sales": load.table("fact_sales"),
+        "fact_campaign_events": load.table("fact_campaign_events"),
+        "activity": activity(silver["orders"], silver["campaign_events"]),
+        "channels": silver["campaign_events"],
+    }
+    products = load.table("dim_product")
+    load.put_all(
+        {
+            name: (load.bucketed(name, state.of(rows[state.base], products), list(state.keys)), [])
+            for name, state in STATES.items()
+        }
+    )
+    load.calendar(load.states())
+
+
+def _load_changes(load: _Loading, silver: Silver, merged: Version) -> None:
+    """Bring a version up to a Silver that was merged from the one it was loaded from.
+    That Silver has passed the gate: every key is known and unique."""
+    spark, lake, before = load.spark, load.lake, load.version
+    changed = {
+        name: read_changes(spark, lake, name, merged.slot)
+        if name in merged.changed
+        else spark.createDataFrame([], changes_schema(name))
+        for name in SOURCES
+    }
+    # Buckets of a dimension are those of its Silver table.
+    puts = {}
+    for dim, name, make in (("dim_customer", "customers", dim_customer), ("dim_product", "products", dim_product)):
+        key = PRIMARY_KEYS[name]
+        moved = _values(spark, changed[name].select(f"now.{key}").select(bucket_of(key, merged.buckets)))
+        if moved:
+            rows = lake.silver(name).read(spark, {b: s for b, s in merged.parts[name].items() if b in moved})
+            puts[dim] = (load.bucketed(dim, make(rows), key), moved)
+
+    ids = lake.changes("affected_orders", load.version.slot)
+    store.write_table(affected_orders(changed), ids)
+    affected = spark.read.schema("order_id string").parquet(ids)
+    days = _values(spark, affected_days(silver["orders"], affected, changed["orders"]))
+    old_sales = _object(lake, "fact_sales").read(spark, _among(before, "fact_sales", days))
+    if days:
+        sales = old_sales.join(affected, "order_id", "left_anti").unionByName(sales_of_orders(silver, affected))
+        puts["fact_sales"] = (sales, days)
+
+    events = changed["campaign_events"]
+    event_ids = events.select("now.event_id")
+    times = events.select("now.event_timestamp").union(events.select("was.event_timestamp"))
+    event_days = _values(spark, times.select(date_key(F.to_date("event_timestamp"))).na.drop())
+    old_events = _object(lake, "fact_campaign_events").read(spark, _among(before, "fact_campaign_events", event_days))
+    if event_days:
+        now = fact_campaign_events({**silver, "campaign_events": events.select("now.*")}, verified=True)
+        puts["fact_campaign_events"] = (old_events.join(event_ids, "event_id", "left_anti").unionByName(now), event_days)
+    load.put_all(puts)
+
+    def of_days(name: str, days: list[int]) -> DataFrame:
+        return _object(lake, name).read(spark, _among(load.version, name, days))
+
+    def silver_rows(name: str, side: str) -> DataFrame:
+        return changed[name].where(F.col(side).isNotNull()).select(f"{side}.*")
+
+    sides = {
+        side: {
+            "fact_sales": sales.join(affected, "order_id", "left_semi"),
+            "fact_campaign_events": facts.join(event_ids, "event_id", "left_semi"),
+            "activity": activity(silver_rows("orders", side), silver_rows("campaign_events", side)),
+            "channels": silver_rows("campaign_events", side),
+        }
+        for side, sales, facts in (
+            ("was", old_sales, old_events),
+            ("now", of_days("fact_sales", days), of_days("fact_campaign_events", event_days)),
+        )
+    }
+    products = {"was": load.table("dim_product", before), "now": load.table("dim_product")}
+    named = ("category", "product_name")
+    renamed = not changed["products"].where(
+        F.col("was").isNotNull() & ~F.struct(*(f"was.{c}" for c in named)).eqNullSafe(F.struct(*(f"now.{c}" for c in named)))
+    ).isEmpty()
+
+    def move(name: str) -> tuple[DataFrame, list[int]] | None:
+        state = STATES[name]
+        if renamed and name == "state_products":
+            # Orders that did not change moved to another name: all facts count anew.
+            whole = state.of(load.table("fact_sales"), products["now"])
+            return load.bucketed(name, whole, list(state.keys)), list(before.parts.get(name, {}))
+        was, now = (state.of(sides[side][state.base], products[side]) for side in ("was", "now"))
+        path = lake.changes(name, load.version.slot)
+        store.write_table(state.difference(was, now), path)
+        difference = spark.read.schema(state.schema).parquet(path)
+        touched = _values(spark, difference.select(bucket_of(list(state.keys), load.version.buckets)))
+        if not touched:
+            return None
+        held = _object(lake, name).read(spark, _among(before, name, touched))
+        return load.bucketed(name, state.plus(held, difference), list(state.keys)), touched
+
+    names = list(STATES)
+    moves = dict(zip(names, store.in_parallel(spark, move, names)))
+    load.put_all({name: found for name, found in moves.items() if found})
+    load.calendar(load.states())
+
+
+def _among(version: Version, name: str, values: list[int]) -> dict[int, str]:
+    held = version.parts.get(name, {})
+    return {v: held[v] for v in values if v in held}
+
+
 def load(
     spark: SparkSession,
     lake: Lake,
@@ -180,35 +446,39 @@ def load(
     policy: SkewPolicy = SkewPolicy(),
     verified: bool = False,
     silver_slot: str | None = None,
+    base: int | None = None,
 ) -> dict:
-    """Build the star schema in a slot of its own, assert on what was written, then
-    publish it and record the run. ``verified`` if the gate has passed this very
-    Silver; ``silver_slot`` if that is to go live in the same commit."""
+    """Build the star schema as a version in a slot of its own, assert on what was
+    written, then publish it and record the run. ``verified`` if the gate has passed
+    this very Silver; ``silver_slot`` if that is to go live in the same commit; ``base`` is
+    the publication that the run builds on (by default the newest).
+
+    If verified Silver was merged from the one that the live warehouse was loaded
+    from, only what the merge changed is loaded, else everything."""
+    base = store.newest_number(spark, lake) if base is None else base
     slot = store.new_slot(run_id)
-    objects = build_warehouse(silver, policy, verified=verified)
-    for fact in FACTS:
-        # Rows of a file are put in date order: row groups then carry narrow
-        # date ranges, and a date filter skips most of them.
-        objects[fact] = objects[fact].sortWithinPartitions("date_key")
+    live = store.live_version(spark, lake, "warehouse")
+    merged = store.load_version(spark, lake, "silver", silver_slot) if silver_slot else None
+    follows = bool(verified and merged and live and merged.origin and merged.origin == live.origin)
+    version = live.carried(slot, silver_slot) if follows else Version(slot, lake.buckets, silver_slot)
+    loading = _Loading(spark, lake, version)
     with sized_shuffles(spark, *silver.values()):
-        store.in_parallel(
-            spark,
-            lambda name: store.write_table(objects[name], lake.warehouse(slot, name)),
-            objects,
-        )
-        written = read_warehouse(spark, lake, slot)
-        metrics = load_assertions(silver, written).first().asDict()
+        if follows:
+            _load_changes(loading, silver, merged)
+        else:
+            _load_all(loading, silver, policy, verified)
+        loading.version.save(spark, lake.version("warehouse", slot))
+        metrics = load_assertions(silver, read_warehouse(spark, lake, loading.version)).first().asDict()
     require_loaded(metrics)
     loaded_at = _now()
     slots = {"warehouse": slot} if silver_slot is None else {"silver": silver_slot, "warehouse": slot}
-    store.publish_slots(spark, lake, slots, run_id=run_id, at=loaded_at, loaded=metrics)
-    return {"run_id": run_id, "loaded_at": loaded_at, "slot": slot, **metrics}
+    number = store.publish_slots(spark, lake, slots, run_id=run_id, at=loaded_at, base=base, loaded=metrics)
+    return {"run_id": run_id, "loaded_at": loaded_at, "slot": slot, "publication": number, "incremental": follows, **metrics}
 
 
 def ledger(spark: SparkSession, lake: Lake) -> DataFrame:
     """One row per loaded run, from the publications of the warehouse."""
-    log = store.read_log(spark, lake, "publications", PUBLISH_LOG_SCHEMA)
-    loads = log.where(F.col("layer") == "warehouse").select(
+    loads = store.publications(spark, lake).where(F.col("layer") == "warehouse").select(
         "run_id",
         F.col("published_at").alias("loaded_at"),
         "fact_sales_rows",
@@ -242,20 +512,31 @@ def run(
     minimum_rows: Mapping[str, int] = MINIMUM_ROWS,
     lookback: timedelta = timedelta(0),
     policy: SkewPolicy = SkewPolicy(),
+    rebuild: bool = False,
 ) -> dict:
     """The whole pipeline. A failed gate or load assertion raises and leaves the
-    live Silver and warehouse untouched."""
+    live Silver and warehouse untouched, and so does another run that publishes first:
+    then this one raises, and its batches are merged by the next. ``rebuild`` makes
+    Silver and warehouse anew from all batches."""
     run_id = run_id or new_run_id()
+    base = store.newest_number(spark, lake)
     extraction = extract_all(spark, lake, sources, run_id=run_id, lookback=lookback)
     slot = store.new_slot(run_id)
-    transformation = transform(spark, lake, slot, salt=salt, run_id=run_id)
-    silver = store.read_silver(spark, lake, slot)
+    transformation = transform(spark, lake, slot, salt=salt, run_id=run_id, rebuild=rebuild)
+    version = store.load_version(spark, lake, "silver", slot)
+    silver = store.read_silver(spark, lake, version)
     report = gate(
-        spark, lake, silver, run_id=run_id, minimum_rows=minimum_rows, policy=policy
+        spark,
+        lake,
+        silver,
+        run_id=run_id,
+        minimum_rows=minimum_rows,
+        policy=policy,
+        measures=version.measures,
     )
     # The gate above raised unless every key of this Silver is known and unique.
     warehouse = load(
-        spark, lake, silver, run_id=run_id, policy=policy, verified=True, silver_slot=slot
+        spark, lake, silver, run_id=run_id, policy=policy, verified=True, silver_slot=slot, base=base
     )
     return {
         "run_id": run_id,
@@ -277,8 +558,10 @@ def publish_silver(spark: SparkSession, lake: Lake, target: Lake) -> dict:
     if live is None or live["run_id"] != allowed["run_id"]:
         raise store.PublishError(f"Silver of run {allowed['run_id']} is not the published one.")
     slot = store.new_slot(live["run_id"])
-    counts = store.copy_silver(spark, lake, live["slot"], target, slot)
-    store.publish_slots(spark, target, {"silver": slot}, run_id=live["run_id"], at=_now())
+    base = store.newest_number(spark, target)
+    copied = store.copy_silver(spark, lake, live["slot"], target, slot)
+    counts = {name: found["rows"] for name, found in copied.measures.items()}
+    store.publish_slots(spark, target, {"silver": slot}, run_id=live["run_id"], at=_now(), base=base)
     return {"quality_run_id": allowed["run_id"], "rows": counts}
 
 
@@ -301,7 +584,14 @@ def serve(spark: SparkSession, lake: Lake) -> None:
     for name, df in live_silver(spark, lake).items():
         df.createOrReplaceTempView(f"silver_{name}")
     ledger(spark, lake).createOrReplaceTempView("pipeline_runs")
-    marts.register_views(live_warehouse(spark, lake))
+    warehouse = live_warehouse(spark, lake)
+    for name, df in {**warehouse, **state_marts(warehouse)}.items():
+        df.createOrReplaceTempView(name)
+
+
+def state_marts(warehouse: Warehouse) -> dict[str, DataFrame]:
+    """The five marts of a loaded warehouse, from its states."""
+    return marts_of(warehouse, warehouse["dim_customer"])
 
 
 def acceptance(
@@ -342,6 +632,7 @@ def acceptance(
 
     log = store.read_log(spark, lake, "quality", QUALITY_LOG_SCHEMA)
     views = marts.build_marts(warehouse)
+    warehouse = {name: df for name, df in warehouse.items() if name not in STATES}
     evidence = runs.evidence(
         executive=views["vw_executive_summary"],
         checks=log.where(F.col("run_id") == second["run_id"]),

@@ -43,14 +43,56 @@ def with_line_amount(items: DataFrame) -> DataFrame:
     return items.withColumn(_COMPUTED, money(F.col("quantity") * F.col("unit_price")))
 
 
+def shaped(name: str, bronze: DataFrame, *, salt: str) -> DataFrame:
+    """Bronze rows as rows of Silver table ``name``, of which the latest counts."""
+    fields = [field for field in SILVER_SCHEMAS[name].fields if field.name != _COMPUTED]
+    return bronze.select(*(_silver_column(field, salt) for field in fields))
+
+
 def silver_table(name: str, bronze: DataFrame, *, salt: str) -> DataFrame:
     """Silver table ``name`` from all its Bronze rows."""
-    fields = [field for field in SILVER_SCHEMAS[name].fields if field.name != _COMPUTED]
-    shaped = bronze.select(*(_silver_column(field, salt) for field in fields))
-    current = latest_by_key(shaped, [PRIMARY_KEYS[name]], ["updated_at"])
+    current = latest_by_key(shaped(name, bronze, salt=salt), [PRIMARY_KEYS[name]], ["updated_at"])
     return with_line_amount(current) if name == "order_items" else current
 
 
+def _row(name: str) -> Column:
+    """A Silver row as a struct that is the greater, the later the row is."""
+    key = PRIMARY_KEYS[name]
+    others = [c for c in SILVER_SCHEMAS[name].fieldNames() if c not in (key, "updated_at")]
+    return F.struct("updated_at", *others, key)
+
+
+def changes_schema(name: str) -> T.StructType:
+    key, schema = PRIMARY_KEYS[name], SILVER_SCHEMAS[name]
+    others = [c for c in schema.fieldNames() if c not in (key, "updated_at")]
+    row = T.StructType([schema[c] for c in ("updated_at", *others, key)])
+    return T.StructType([T.StructField("was", row), T.StructField("now", row)])
+
+
+def changes(name: str, current: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What ``incoming`` rows, one per key, change in the ``current`` ones: rows (was, now) of
+    the keys whose latest row is another; ``was`` is null for a new key. An incoming row
+    that is older than the current one changes nothing, whenever it arrives.
+
+    The current table is only looked up by the incoming keys: with a small batch these
+    are broadcast, and the table is neither shuffled nor sorted."""
+    key = PRIMARY_KEYS[name]
+    new = incoming.select(F.col(key).alias("_key"), _row(name).alias("_new"))
+    old = current.select(F.col(key).alias("_old_key"), _row(name).alias("was"))
+    old = old.join(new.select("_key"), F.col("_old_key").eqNullSafe(F.col("_key")), "left_semi")
+    now = F.greatest("was", "_new")
+    met = new.join(old, F.col("_key").eqNullSafe(F.col("_old_key")), "left")
+    return met.where(~F.col("was").eqNullSafe(now)).select("was", now.alias("now"))
+
+
+def with_changes(name: str, current: DataFrame, changed: DataFrame) -> DataFrame:
+    """The ``current`` rows after their changes."""
+    key = PRIMARY_KEYS[name]
+    now = changed.select("now.*").select(*current.columns)
+    keys = now.select(F.col(key).alias("_key"))
+    return current.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti").unionByName(now)
+
+
 def build_silver(bronze: Mapping[str, DataFrame], *, salt: str) -> dict[str, DataFrame]:
     return {name: silver_table(name, bronze[name], salt=salt) for name in SOURCES}
 

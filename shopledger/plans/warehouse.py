@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -204,6 +205,36 @@ def fact_campaign_events(
     )
 
 
+def affected_orders(changed: Mapping[str, DataFrame]) -> DataFrame:
+    """Ids of the orders whose sales facts may differ after changes (was, now) of
+    orders, items and payments: an item or payment that moved affects both its orders."""
+    ids = [
+        rows.select(F.col(f"{side}.order_id").alias("order_id"))
+        for name in ("orders", "order_items", "payments")
+        for rows in [changed[name]]
+        for side in ("was", "now")
+    ]
+    return reduce(DataFrame.union, ids).where(F.col("order_id").isNotNull()).distinct()
+
+
+def affected_days(orders: DataFrame, affected: DataFrame, changed_orders: DataFrame) -> DataFrame:
+    """Date keys on which affected orders lie now, or lay before."""
+    now = orders.join(affected, "order_id", "left_semi").select("order_timestamp")
+    was = changed_orders.select(F.col("was.order_timestamp").alias("order_timestamp"))
+    days = now.union(was).select(date_key(F.to_date("order_timestamp")).alias("date_key"))
+    return days.where(F.col("date_key").isNotNull()).distinct()
+
+
+def sales_of_orders(silver: Silver, affected: DataFrame) -> DataFrame:
+    """The sales facts of some orders of verified Silver. Orders, items and payments
+    are cut down by their order's id before they meet."""
+    some = {
+        name: silver[name].join(affected, "order_id", "left_semi")
+        for name in ("orders", "order_items", "payments")
+    }
+    return fact_sales({**silver, **some}, verified=True)
+
+
 def build_dimensions(silver: Silver) -> dict[str, DataFrame]:
     return {
         "dim_customer": dim_customer(silver["customers"]),
@@ -266,11 +297,11 @@ def load_assertions(silver: Silver, warehouse: Warehouse) -> DataFrame:
 def require_loaded(metrics: dict) -> None:
     """Raise on the driver from the one row of ``load_assertions``."""
     if not metrics["sales_keys_unique"]:
-        raise WarehouseLoadError("Warehouse load created duplicate sales keys.")
+        raise WarehouseLoadError("Sales keys of the loaded facts repeat.")
     if not metrics["revenue_reconciles"]:
         raise WarehouseLoadError(
-            f"Warehouse revenue {metrics['warehouse_revenue']} does not reconcile "
-            f"to Silver revenue {metrics['silver_revenue']}."
+            f"Facts hold a revenue of {metrics['warehouse_revenue']}, "
+            f"Silver one of {metrics['silver_revenue']}."
         )
     if metrics["key_collisions"]:
         raise WarehouseLoadError(f"{metrics['key_collisions']} surrogate keys collide.")

@@ -110,6 +110,63 @@ SILVER_SCHEMAS = {
     ),
 }
 
+_INT = T.IntegerType()
+FACT_TABLES = ("fact_sales", "fact_campaign_events")
+WAREHOUSE_SCHEMAS = {
+    "dim_customer": T.StructType(
+        [T.StructField("customer_key", _TEXT), *SILVER_SCHEMAS["customers"].fields]
+    ),
+    "dim_product": _schema(
+        product_key=_TEXT,
+        product_id=_TEXT,
+        product_name=_TEXT,
+        category=_TEXT,
+        current_unit_price=MONEY,
+        is_active=T.BooleanType(),
+        created_at=_TIME,
+        updated_at=_TIME,
+    ),
+    "dim_date": _schema(
+        date_key=_INT,
+        calendar_date=T.DateType(),
+        year=_INT,
+        quarter=_INT,
+        month=_INT,
+        month_name=_TEXT,
+        day=_INT,
+        day_of_week=_INT,
+        day_name=_TEXT,
+        is_weekend=T.BooleanType(),
+    ),
+    "dim_channel": _schema(channel_key=_TEXT, channel=_TEXT),
+    "fact_sales": _schema(
+        sales_key=_TEXT,
+        order_item_id=_TEXT,
+        order_id=_TEXT,
+        customer_key=_TEXT,
+        product_key=_TEXT,
+        date_key=_INT,
+        order_status=_TEXT,
+        payment_method=_TEXT,
+        quantity=_INT,
+        unit_price=MONEY,
+        gross_amount=MONEY,
+        order_timestamp=_TIME,
+        payment_timestamp=_TIME,
+    ),
+    "fact_campaign_events": _schema(
+        campaign_event_key=_TEXT,
+        event_id=_TEXT,
+        campaign_id=_TEXT,
+        customer_key=_TEXT,
+        channel_key=_TEXT,
+        date_key=_INT,
+        event_type=_TEXT,
+        revenue=MONEY,
+        event_timestamp=_TIME,
+    ),
+}
+
 # Columns of one extra order-item file that may be put in front of the gate.
 ITEM_FIXTURE_SCHEMA = SILVER_SCHEMAS["order_items"]
 
@@ -139,7 +196,10 @@ LEDGER_SCHEMA = _schema(
     fact_campaign_rows=T.LongType(),
     status=_TEXT,
 )
-WATERMARK_SCHEMA = _schema(watermark=_TIME, run_id=_TEXT)
+# A row is written after its batch, so a batch that is named here is complete.
+WATERMARK_SCHEMA = _schema(
+    watermark=_TIME, run_id=_TEXT, ingested_date=T.DateType(), batch=_TEXT, rejected=T.LongType()
+)
 QUALITY_LOG_SCHEMA = _schema(
     run_id=_TEXT,
     checked_at=_TIME,
@@ -149,8 +209,10 @@ QUALITY_LOG_SCHEMA = _schema(
     blocking=T.BooleanType(),
     detail=_TEXT,
 )
-# One row per layer; rows of one commit are one file. The counts are those of a load.
+# One row per layer; rows of one commit are one file, named by its number. The counts
+# are those of a load.
 PUBLISH_LOG_SCHEMA = _schema(
+    number=T.LongType(),
     layer=_TEXT,
     run_id=_TEXT,
     slot=_TEXT,

@@ -1,25 +1,32 @@
 """Folders of the lake, and how each is written and read.
 
-    bronze/<source>/ingested_date=/run_id=    append-only batches
-    silver/<slot>/<table>                     a slot is the output of one attempt of a run
-    warehouse/<slot>/<object>                 likewise
-    log/<name>                                small append-only tables
-
-Parquet folders cannot be swapped in one step, so every attempt of a run writes
-folders of its own, is judged on them, and then publishes Silver, warehouse and
-ledger by one file in the publish log. A run that fails, or a driver lost on the
-way, leaves what is live as it was. Slots stay readable after the next publication;
-whoever owns the lake removes those older than its longest reader.
+    bronze/<source>/ingested_date=/run_id=/batch=   append-only batches
+    silver/<table>/slot=/bucket=                    parts of Silver (see ``parts``)
+    warehouse/<object>/slot=/...                    parts of facts, dimensions, mart states
+    changes/<table>/slot=                           rows of Silver before and after a run
+    versions/<layer>/<slot>                         which parts an attempt's version has
+    log/<name>                                      small append-only tables
+
+Parquet folders cannot be swapped in one step, so every attempt of a run writes a slot
+of its own, is judged on the version made with it, and then publishes Silver, warehouse
+and ledger by one file in the publish log. A run that fails, or a driver lost on the
+way, leaves what is live as it was. Publications are numbered, and each names the one it
+builds on by taking the next number: of two runs that began at the same publication the
+second is refused. Slots stay readable after the next publication; whoever owns the lake
+removes those that neither the live version nor its longest reader names.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,8 +34,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.functions import utc_timestamps
-from shopledger.operators import latest_by_key
-from shopledger.schemas import PUBLISH_LOG_SCHEMA, SILVER_SCHEMAS, SOURCE_SCHEMAS
+from shopledger.schemas import (
+    FACT_TABLES,
+    PRIMARY_KEYS,
+    PUBLISH_LOG_SCHEMA,
+    SILVER_SCHEMAS,
+    SOURCE_SCHEMAS,
+    WAREHOUSE_SCHEMAS,
+)
+from shopledger.sources.parts import BUCKET, PartTable, Version, bucket_of
 
 PARALLEL_WRITES = 6
 
@@ -37,9 +51,17 @@ class PublishError(RuntimeError):
     """Silver cannot be published."""
 
 
+class StaleBaseError(PublishError):
+    """Another run has published since this one began."""
+
+
 @dataclass(frozen=True)
 class Lake:
+    """``buckets`` is the number of parts of each Silver table and mart state of a new
+    lake: about one per few GB of the largest. A lake keeps the number it was begun with."""
+
     root: str
+    buckets: int = 16
 
     def _at(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -47,11 +69,19 @@ class Lake:
     def bronze(self, source: str) -> str:
         return self._at("bronze", source)
 
-    def silver(self, slot: str, table: str) -> str:
-        return self._at("silver", slot, table)
+    def silver(self, table: str) -> PartTable:
+        return PartTable(table, self._at("silver", table), SILVER_SCHEMAS[table])
+
+    def warehouse(self, name: str, schema: T.StructType | None = None) -> PartTable:
+        """A fact, cut by its date, or another object of the warehouse, cut by buckets."""
+        part = "date_key" if name in FACT_TABLES else BUCKET
+        return PartTable(name, self._at("warehouse", name), schema or WAREHOUSE_SCHEMAS[name], part)
+
+    def changes(self, table: str, slot: str) -> str:
+        return self._at("changes", table, f"slot={slot}")
 
-    def warehouse(self, slot: str, name: str) -> str:
-        return self._at("warehouse", slot, name)
+    def version(self, layer: str, slot: str) -> str:
+        return self._at("versions", layer, slot)
 
     def log(self, name: str) -> str:
         return self._at("log", name)
@@ -71,21 +101,32 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
+_BATCH_COLUMNS = ("ingested_date", "run_id", "batch")
+
+
+def _bronze_schema(source: str) -> T.StructType:
+    kinds = {"ingested_date": T.DateType()}
+    return T.StructType(
+        [*SOURCE_SCHEMAS[source].fields, *(T.StructField(c, kinds.get(c, T.StringType())) for c in _BATCH_COLUMNS)]
+    )
+
+
 def append_bronze(
-    batch: DataFrame, lake: Lake, source: str, *, run_id: str, ingested_date: date
+    batch: DataFrame, lake: Lake, source: str, *, run_id: str, ingested_date: date, batch_id: str | None = None
 ) -> dict:
     """Write one batch and report its rows and newest ``updated_at``, observed
     in the same pass. An empty batch writes no file. Batches only ever add: a run
     repeated under its own id, after the watermark has moved, keeps what its first
     attempt wrote, and Silver takes rows that came twice as one."""
+    batch_id = batch_id or new_slot(source)
     seen = Observation()
     (
         conform(utc_timestamps(batch), SOURCE_SCHEMAS[source])
         .observe(seen, F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("newest"))
-        .withColumns({"ingested_date": F.lit(ingested_date), "run_id": F.lit(run_id)})
+        .withColumns({"ingested_date": F.lit(ingested_date), "run_id": F.lit(run_id), "batch": F.lit(batch_id)})
         .sortWithinPartitions("updated_at")
         .write.mode("append")
-        .partitionBy("ingested_date", "run_id")
+        .partitionBy(*_BATCH_COLUMNS)
         .parquet(lake.bronze(source))
     )
     return seen.get
@@ -119,14 +160,17 @@ def read_bronze(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     path = lake.bronze(source)
     if not has_parquet(spark, path):
         raise FileNotFoundError(f"Source {source!r} has no batch in Bronze yet ({path})")
-    schema = T.StructType(
-        [
-            *SOURCE_SCHEMAS[source].fields,
-            T.StructField("ingested_date", T.DateType()),
-            T.StructField("run_id", T.StringType()),
-        ]
-    )
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+    return spark.read.schema(_bronze_schema(source)).option("pathGlobFilter", "*.parquet").parquet(path)
+
+
+def read_batches(spark: SparkSession, lake: Lake, source: str, folders: Iterable[str]) -> DataFrame:
+    """The rows of some batches, by their folders below the source's; other batches
+    are neither listed nor read."""
+    root = lake.bronze(source)
+    paths = [f"{root}/{folder}" for folder in folders]
+    if not paths:
+        return spark.createDataFrame([], _bronze_schema(source))
+    return spark.read.schema(_bronze_schema(source)).option("basePath", root).parquet(*paths)
 
 
 def write_table(df: DataFrame, path: str, *measures: Column) -> dict:
@@ -148,19 +192,38 @@ def written(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -
     }
 
 
-def stage_silver(spark: SparkSession, silver: Mapping[str, DataFrame], lake: Lake, slot: str) -> dict:
-    """Write all Silver tables to a slot; row counts by table."""
-    names = list(silver)
-    results = in_parallel(
-        spark, lambda name: write_table(silver[name], lake.silver(slot, name)), names
-    )
-    return {name: result["rows"] for name, result in zip(names, results)}
+def stage_silver(
+    spark: SparkSession,
+    silver: Mapping[str, DataFrame],
+    lake: Lake,
+    slot: str,
+    *,
+    batches: Iterable[tuple[str, str]] = (),
+    measures: Callable[[str], Mapping[str, Column]] = lambda table: {},
+) -> Version:
+    """Write all Silver tables whole to a slot, and the version they make. ``measures``
+    of a table are aggregates observed while it is written."""
+
+    def write(name: str) -> dict:
+        wanted = measures(name)
+        cut = silver[name].withColumn(BUCKET, bucket_of(PRIMARY_KEYS[name], lake.buckets))
+        return lake.silver(name).write(cut, slot, *(c.alias(m) for m, c in wanted.items()))
 
+    version = Version(slot, lake.buckets, batches=frozenset(batches))
+    for name, seen in zip(silver, in_parallel(spark, write, list(silver))):
+        version = version.with_parts(name, (), lake.silver(name).written(spark, slot)).with_measures(name, seen)
+    version.save(spark, lake.version("silver", slot))
+    return version
 
-def read_silver(spark: SparkSession, lake: Lake, slot: str) -> dict[str, DataFrame]:
+
+def load_version(spark: SparkSession, lake: Lake, layer: str, slot: str) -> Version:
+    return Version.load(spark, lake.version(layer, slot))
+
+
+def read_silver(spark: SparkSession, lake: Lake, slot: str | Version) -> dict[str, DataFrame]:
+    version = slot if isinstance(slot, Version) else load_version(spark, lake, "silver", slot)
     return {
-        name: spark.read.schema(schema).parquet(lake.silver(slot, name))
-        for name, schema in SILVER_SCHEMAS.items()
+        name: lake.silver(name).read(spark, version.parts.get(name, {})) for name in SILVER_SCHEMAS
     }
 
 
@@ -177,15 +240,29 @@ def read_log(spark: SparkSession, lake: Lake, name: str, schema: T.StructType) -
 def append_log(spark: SparkSession, lake: Lake, name: str, rows: list[dict], schema: T.StructType) -> None:
     """Append rows to a log. Jobs that run at the same time must not append to
     the same folder: they would share its temporary files."""
-    values = [tuple(row[field] for field in schema.fieldNames()) for row in rows]
+    values = [tuple(row.get(field) for field in schema.fieldNames()) for row in rows]
     spark.createDataFrame(values, schema).coalesce(1).write.mode("append").parquet(lake.log(name))
 
 
+def publications(spark: SparkSession, lake: Lake) -> DataFrame:
+    """One row per published layer; the number rises with each commit."""
+    try:
+        return spark.read.schema(PUBLISH_LOG_SCHEMA).json(lake.log("publications"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PUBLISH_LOG_SCHEMA)
+
+
+def newest_number(spark: SparkSession, lake: Lake) -> int:
+    """Number of the last commit; 0 before the first."""
+    return publications(spark, lake).agg(F.max("number")).first()[0] or 0
+
+
 def live_publication(spark: SparkSession, lake: Lake, layer: str) -> dict | None:
     """Newest publication of a layer (run and slot); None before the first."""
-    published = read_log(spark, lake, "publications", PUBLISH_LOG_SCHEMA)
-    current = latest_by_key(published, ["layer"], ["published_at"])
-    row = current.where(F.col("layer") == layer).first()
+    rows = publications(spark, lake).where(F.col("layer") == layer)
+    row = rows.orderBy(F.desc("number")).first()
     return row.asDict() if row else None
 
 
@@ -194,11 +271,43 @@ def live_slot(spark: SparkSession, lake: Lake, layer: str) -> str | None:
     return published["slot"] if published else None
 
 
+def live_version(spark: SparkSession, lake: Lake, layer: str) -> Version | None:
+    slot = live_slot(spark, lake, layer)
+    return None if slot is None else load_version(spark, lake, layer, slot)
+
+
 def new_slot(run_id: str) -> str:
     """A folder name no other attempt has, of this run or another."""
     return f"{run_id}-{uuid.uuid4().hex[:12]}"
 
 
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file with its whole content, unless there is one of that name: then
+    False. The file system's own rename decides, which refuses an existing target;
+    HDFS and its like do that atomically."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    paths = jvm.org.apache.hadoop.fs
+    target = paths.Path(path)
+    target = target.getFileSystem(settings).makeQualified(target)
+    pending = paths.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    out = pending.getFileSystem(settings).create(pending, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        paths.FileContext.getFileContext(target.toUri(), settings).rename(pending, target, options)
+    except Py4JJavaError as error:
+        pending.getFileSystem(settings).delete(pending, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
 def publish_slots(
     spark: SparkSession,
     lake: Lake,
@@ -206,37 +315,51 @@ def publish_slots(
     *,
     run_id: str,
     at: datetime,
+    base: int,
     loaded: Mapping[str, int] | None = None,
-) -> None:
-    """Make slots live, by layer, in one commit; ``loaded`` are the row counts of
-    the facts when the warehouse is among them."""
-    rows = []
+) -> int:
+    """Make slots live, by layer, in one commit that builds on commit ``base``; its
+    number. Refused if another commit has built on that one. ``loaded`` are the row
+    counts of the facts when the warehouse is among the layers."""
+    lines = []
     for layer, slot in slots.items():
         counts = loaded if loaded and layer == "warehouse" else {}
-        rows.append(
-            {
-                "layer": layer,
-                "run_id": run_id,
-                "slot": slot,
-                "published_at": at,
-                "fact_sales_rows": counts.get("fact_sales_rows"),
-                "fact_campaign_rows": counts.get("fact_campaign_rows"),
-            }
+        row = {
+            "number": base + 1,
+            "layer": layer,
+            "run_id": run_id,
+            "slot": slot,
+            "published_at": at.isoformat(),
+            "fact_sales_rows": counts.get("fact_sales_rows"),
+            "fact_campaign_rows": counts.get("fact_campaign_rows"),
+        }
+        lines.append(json.dumps(row) + "\n")
+    if not create_once(spark, f"{lake.log('publications')}/{base + 1:012d}.json", "".join(lines)):
+        raise StaleBaseError(
+            f"Run {run_id} builds on publication {base}, which another run has built on since."
         )
-    append_log(spark, lake, "publications", rows, PUBLISH_LOG_SCHEMA)
+    return base + 1
 
 
 def silver_file_plan(spark: SparkSession, lake: Lake, slot: str) -> dict[str, DataFrame]:
     """Files of each Silver table that a publication would copy. Changes
-    nothing; a table without files is an error that names it."""
+    nothing; a table without files, or with a part that lost them, is an error that
+    names it."""
+    version = load_version(spark, lake, "silver", slot)
     plan = {}
     for table in SILVER_SCHEMAS:
-        path = lake.silver(slot, table)
-        if not has_parquet(spark, path):
-            raise PublishError(
-                f"Nothing to publish for {table!r}: {path} holds no Parquet file"
+        parts, at = version.parts.get(table, {}), lake.silver(table)
+        # Parts of one slot lie below one folder.
+        held = [
+            parquet_files(spark, at.folder(s)).where(
+                F.regexp_extract("path", rf"/{at.part}=(\d+)/", 1).isin([str(v) for v, own in parts.items() if own == s])
             )
-        plan[table] = parquet_files(spark, path)
+            for s in sorted(set(parts.values()))
+            if has_parquet(spark, at.folder(s))
+        ]
+        if not held:
+            raise PublishError(f"Nothing to publish for {table!r}: {at.root} holds no Parquet file of slot {slot}")
+        plan[table] = reduce(DataFrame.unionByName, held)
     return plan
 
 
@@ -252,7 +375,8 @@ def publish_plan(spark: SparkSession, lake: Lake, slot: str) -> DataFrame:
     return result
 
 
-def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake, target_slot: str) -> dict:
-    """Copy a Silver slot into a slot of another lake; row counts by table."""
+def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake, target_slot: str) -> Version:
+    """Copy a Silver version whole into a slot of another lake."""
     silver_file_plan(spark, lake, slot)
-    return stage_silver(spark, read_silver(spark, lake, slot), target, target_slot)
+    version = load_version(spark, lake, "silver", slot)
+    return stage_silver(spark, read_silver(spark, lake, version), target, target_slot)

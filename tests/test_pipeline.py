@@ -220,12 +220,17 @@ def test_pipeline_end_to_end(spark, tmp_path, sources):
 
     # The plan counts the files that are there, and names a table without any.
     slot = store.live_slot(spark, lake, "silver")
-    folder = tmp_path / "lake" / "silver" / slot
+    folder = tmp_path / "lake" / "silver"
+    parts = store.load_version(spark, lake, "silver", slot).parts
+
+    def held(name):
+        return [f for b, s in parts[name].items() for f in files(folder / name / f"slot={s}" / f"bucket={b}")]
+
     plan = {r["table_name"]: r for r in store.publish_plan(spark, lake, slot).collect()}
     for name in SILVER_SCHEMAS:
-        sizes = [path.stat().st_size for path in files(folder / name)]
+        sizes = [path.stat().st_size for path in held(name)]
         assert (plan[name]["files"], plan[name]["bytes"]) == (len(sizes), sum(sizes))
-    for path in files(folder / "payments"):
+    for path in held("payments"):
         path.unlink()
     with pytest.raises(store.PublishError, match="payments"):
         store.publish_plan(spark, lake, slot)
