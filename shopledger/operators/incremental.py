@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shopledger.schemas import EPOCH_WATERMARK
+from shopledger.schemas import EPOCH_WATERMARK, REJECTED_RECORD
 
 
 def as_timestamp(moment: str | datetime) -> Column:
@@ -31,7 +31,11 @@ def changed_since(
     bound = as_timestamp(watermark)
     if lookback:
         bound = bound - F.lit(lookback)
-    return df.where(F.col("updated_at") > bound)
+    changed = F.col("updated_at") > bound
+    if REJECTED_RECORD in df.columns:
+        # A record that could not be read has no time to compare.
+        changed = changed | F.col(REJECTED_RECORD).isNotNull()
+    return df.where(changed)
 
 
 def extract_summary(changed: DataFrame, source: str, watermark: str | datetime) -> DataFrame:

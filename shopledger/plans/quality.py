@@ -37,6 +37,8 @@ REFERENTIAL_INTEGRITY = "referential_integrity"
 PAYMENT_RECONCILES = "payment_reconciles_to_items"
 MINIMUM_VOLUME = "minimum_expected_volume"
 RAW_PII_ABSENT = "raw_pii_absent_from_silver"
+# A check of a run's extraction, next to those of Silver.
+RECORDS_READABLE = "source_records_readable"
 CHECKS = (
     REQUIRED_KEYS,
     UNIQUE_KEYS,
@@ -407,6 +409,21 @@ def gate_report(run_id: str, checks: list[dict]) -> dict:
     }
 
 
+def with_rejected(report: dict, rejected: int, most: int) -> dict:
+    """The report with a check of the records that extraction set aside. Up to ``most``
+    of them are counted and named, and the run goes on."""
+    failures = rejected if rejected > most else 0
+    check = {
+        "check_name": RECORDS_READABLE,
+        "failures": failures,
+        "passed": not failures,
+        "blocking": True,
+        "detail": f"{rejected} records set aside, {most} allowed",
+    }
+    checked = gate_report(report["run_id"], [*report["checks"], check])
+    return checked | {"checked_at": report["checked_at"]}
+
+
 def require_passed(report: dict) -> None:
     if report["status"] != "passed":
         raise QualityGateError(

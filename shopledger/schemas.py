@@ -86,6 +86,9 @@ EVENT_FEED_SCHEMA = _schema(
     updated_at=_TEXT,
 )
 
+# A line of the feed that is no event, kept as it came.
+REJECTED_RECORD = "rejected_record"
+
 SILVER_SCHEMAS = {
     "customers": _schema(
         customer_id=_TEXT,

@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.functions import utc_timestamps
+from shopledger.operators import same_rows
 from shopledger.schemas import (
     FACT_TABLES,
     PRIMARY_KEYS,
     PUBLISH_LOG_SCHEMA,
+    REJECTED_RECORD,
     SILVER_SCHEMAS,
     SOURCE_SCHEMAS,
     WAREHOUSE_SCHEMAS,
@@ -102,6 +104,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 _BATCH_COLUMNS = ("ingested_date", "run_id", "batch")
+_REJECTED = "rejected-"
 
 
 def _bronze_schema(source: str) -> T.StructType:
@@ -117,13 +120,33 @@ def append_bronze(
     """Write one batch and report its rows and newest ``updated_at``, observed
     in the same pass. An empty batch writes no file. Batches only ever add: a run
     repeated under its own id, after the watermark has moved, keeps what its first
-    attempt wrote, and Silver takes rows that came twice as one."""
+    attempt wrote, and Silver takes rows that came twice as one.
+
+    Rows with a ``rejected_record`` go, in the same pass, to a batch next to it that only
+    ``read_rejected`` reads."""
     batch_id = batch_id or new_slot(source)
     seen = Observation()
+    schema = SOURCE_SCHEMAS[source]
+    if REJECTED_RECORD in batch.columns:
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED_RECORD, T.StringType())])
+        bad = F.col(REJECTED_RECORD).isNotNull()
+    else:
+        bad = F.lit(False)
     (
-        conform(utc_timestamps(batch), SOURCE_SCHEMAS[source])
-        .observe(seen, F.count(F.lit(1)).alias("rows"), F.max("updated_at").alias("newest"))
-        .withColumns({"ingested_date": F.lit(ingested_date), "run_id": F.lit(run_id), "batch": F.lit(batch_id)})
+        conform(utc_timestamps(batch), schema)
+        .observe(
+            seen,
+            F.count_if(~bad).alias("rows"),
+            F.max("updated_at").alias("newest"),
+            F.count_if(bad).alias("rejected"),
+        )
+        .withColumns(
+            {
+                "ingested_date": F.lit(ingested_date),
+                "run_id": F.lit(run_id),
+                "batch": F.when(bad, F.lit(f"{_REJECTED}{batch_id}")).otherwise(batch_id),
+            }
+        )
         .sortWithinPartitions("updated_at")
         .write.mode("append")
         .partitionBy(*_BATCH_COLUMNS)
@@ -160,7 +183,21 @@ def read_bronze(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     path = lake.bronze(source)
     if not has_parquet(spark, path):
         raise FileNotFoundError(f"Source {source!r} has no batch in Bronze yet ({path})")
-    return spark.read.schema(_bronze_schema(source)).option("pathGlobFilter", "*.parquet").parquet(path)
+    batches = spark.read.schema(_bronze_schema(source)).option("pathGlobFilter", "*.parquet").parquet(path)
+    return batches.where(~F.col("batch").startswith(_REJECTED))
+
+
+def read_rejected(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
+    """The records of a source that were set aside: rejected_record with the columns
+    of its batch. Other batches are pruned by their folders."""
+    schema = T.StructType([T.StructField(REJECTED_RECORD, T.StringType()), *_bronze_schema(source).fields[-len(_BATCH_COLUMNS) :]])
+    try:
+        batches = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(lake.bronze(source))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return batches.where(F.col("batch").startswith(_REJECTED))
 
 
 def read_batches(spark: SparkSession, lake: Lake, source: str, folders: Iterable[str]) -> DataFrame:
@@ -376,7 +413,19 @@ def publish_plan(spark: SparkSession, lake: Lake, slot: str) -> DataFrame:
 
 
 def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake, target_slot: str) -> Version:
-    """Copy a Silver version whole into a slot of another lake."""
+    """Copy a Silver version whole into a slot of another lake. Both are read again and
+    must hold the same rows."""
     silver_file_plan(spark, lake, slot)
-    version = load_version(spark, lake, "silver", slot)
-    return stage_silver(spark, read_silver(spark, lake, version), target, target_slot)
+    tables = read_silver(spark, lake, slot)
+    copied = stage_silver(spark, tables, target, target_slot)
+    there = read_silver(spark, target, copied)
+
+    def compare(name: str) -> dict:
+        return same_rows(tables[name], there[name]).first().asDict()
+
+    for name, found in zip(tables, in_parallel(spark, compare, list(tables))):
+        if not found["same"]:
+            raise PublishError(
+                f"The copy of {name!r} differs: {found['first_rows']} rows here, {found['second_rows']} there"
+            )
+    return copied
