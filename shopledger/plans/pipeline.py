@@ -179,16 +179,14 @@ def merge_table(
     that they touch; the parts replaced and written, and the table's measures then.
     ``keys`` holds at least the keys of ``incoming``."""
     table, key = lake.silver(name), PRIMARY_KEYS[name]
-    held = base.parts.get(name, {})
     bucket = bucket_of(key, base.buckets)
-    touched = _values(spark, keys.select(bucket))
-    current = table.read(spark, {b: held[b] for b in touched if b in held})
+    current = base.read(spark, table, _values(spark, keys.select(bucket)))
     moves = [c.alias(m) for m, c in quality.changed_measures(name).items()]
     seen = store.write_table(changes(name, current, incoming), lake.changes(name, slot), *moves)
     changed = read_changes(spark, lake, name, slot)
     moved = _values(spark, changed.select(f"now.{key}").select(bucket))
     if moved:
-        current = table.read(spark, {b: held[b] for b in moved if b in held})
+        current = base.read(spark, table, moved)
         table.write(with_changes(name, current, changed).withColumn(BUCKET, bucket), slot)
     measures = {
         m: n + seen["rows_added" if m == "rows" else m] for m, n in base.measures[name].items()
@@ -293,10 +291,7 @@ def _object(lake: Lake, name: str) -> PartTable:
 def read_warehouse(spark: SparkSession, lake: Lake, slot: str | Version) -> Warehouse:
     """Dimensions, facts and mart states of a version."""
     version = slot if isinstance(slot, Version) else store.load_version(spark, lake, "warehouse", slot)
-    return {
-        name: _object(lake, name).read(spark, version.parts.get(name, {}))
-        for name in (*DIMENSIONS, *FACTS, *STATES)
-    }
+    return {name: version.read(spark, _object(lake, name)) for name in (*DIMENSIONS, *FACTS, *STATES)}
 
 
 class _Loading:
@@ -306,8 +301,7 @@ class _Loading:
         self.spark, self.lake, self.version = spark, lake, version
 
     def table(self, name: str, version: Version | None = None) -> DataFrame:
-        held = (version or self.version).parts.get(name, {})
-        return _object(self.lake, name).read(self.spark, held)
+        return (version or self.version).read(self.spark, _object(self.lake, name))
 
     def put(self, name: str, df: DataFrame, replaced: list[int]) -> list[int]:
         """Write parts of a table; the parts that came out. ``replaced`` ones go."""
@@ -376,14 +370,14 @@ def _load_changes(load: _Loading, silver: Silver, merged: Version) -> None:
         key = PRIMARY_KEYS[name]
         moved = _values(spark, changed[name].select(f"now.{key}").select(bucket_of(key, merged.buckets)))
         if moved:
-            rows = lake.silver(name).read(spark, {b: s for b, s in merged.parts[name].items() if b in moved})
+            rows = merged.read(spark, lake.silver(name), moved)
             puts[dim] = (load.bucketed(dim, make(rows), key), moved)
 
     ids = lake.changes("affected_orders", load.version.slot)
     store.write_table(affected_orders(changed), ids)
     affected = spark.read.schema("order_id string").parquet(ids)
     days = _values(spark, affected_days(silver["orders"], affected, changed["orders"]))
-    old_sales = _object(lake, "fact_sales").read(spark, _among(before, "fact_sales", days))
+    old_sales = before.read(spark, _object(lake, "fact_sales"), days)
     if days:
         sales = old_sales.join(affected, "order_id", "left_anti").unionByName(sales_of_orders(silver, affected))
         puts["fact_sales"] = (sales, days)
@@ -392,14 +386,14 @@ def _load_changes(load: _Loading, silver: Silver, merged: Version) -> None:
     event_ids = events.select("now.event_id")
     times = events.select("now.event_timestamp").union(events.select("was.event_timestamp"))
     event_days = _values(spark, times.select(date_key(F.to_date("event_timestamp"))).na.drop())
-    old_events = _object(lake, "fact_campaign_events").read(spark, _among(before, "fact_campaign_events", event_days))
+    old_events = before.read(spark, _object(lake, "fact_campaign_events"), event_days)
     if event_days:
         now = fact_campaign_events({**silver, "campaign_events": events.select("now.*")}, verified=True)
         puts["fact_campaign_events"] = (old_events.join(event_ids, "event_id", "left_anti").unionByName(now), event_days)
     load.put_all(puts)
 
     def of_days(name: str, days: list[int]) -> DataFrame:
-        return _object(lake, name).read(spark, _among(load.version, name, days))
+        return load.version.read(spark, _object(lake, name), days)
 
     def silver_rows(name: str, side: str) -> DataFrame:
         return changed[name].where(F.col(side).isNotNull()).select(f"{side}.*")
@@ -435,7 +429,7 @@ def _load_changes(load: _Loading, silver: Silver, merged: Version) -> None:
         touched = _values(spark, difference.select(bucket_of(list(state.keys), load.version.buckets)))
         if not touched:
             return None
-        held = _object(lake, name).read(spark, _among(before, name, touched))
+        held = before.read(spark, _object(lake, name), touched)
         return load.bucketed(name, state.plus(held, difference), list(state.keys)), touched
 
     names = list(STATES)
@@ -444,11 +438,6 @@ def _load_changes(load: _Loading, silver: Silver, merged: Version) -> None:
     load.calendar(load.states())
 
 
-def _among(version: Version, name: str, values: list[int]) -> dict[int, str]:
-    held = version.parts.get(name, {})
-    return {v: held[v] for v in values if v in held}
-
-
 def load(
     spark: SparkSession,
     lake: Lake,

@@ -259,9 +259,7 @@ def load_version(spark: SparkSession, lake: Lake, layer: str, slot: str) -> Vers
 
 def read_silver(spark: SparkSession, lake: Lake, slot: str | Version) -> dict[str, DataFrame]:
     version = slot if isinstance(slot, Version) else load_version(spark, lake, "silver", slot)
-    return {
-        name: lake.silver(name).read(spark, version.parts.get(name, {})) for name in SILVER_SCHEMAS
-    }
+    return {name: version.read(spark, lake.silver(name)) for name in SILVER_SCHEMAS}
 
 
 def read_log(spark: SparkSession, lake: Lake, name: str, schema: T.StructType) -> DataFrame:

@@ -10,6 +10,7 @@ one. Silver and mart states are cut by a hash of their key, facts by their date.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
 
@@ -86,17 +87,24 @@ class PartTable:
         found = files.select(value.alias("value")).where("value <> ''").distinct()
         return sorted(int(r["value"]) for r in found.collect())
 
-    def read(self, spark: SparkSession, parts: Mapping[int, str], *, with_part: bool = False) -> DataFrame:
+    def read(
+        self, spark: SparkSession, parts: Mapping[int, str], sizes: Mapping[str, int] | None = None
+    ) -> DataFrame:
         """The rows of the given parts, each from its slot. The part column is a
-        partition column of the scan, so filters and joins on it prune folders."""
-        columns = [*self.columns, *([self.part] if with_part and self.part not in self.columns else [])]
+        partition column of the scan, so filters and joins on it prune folders. A slot of
+        which all parts are asked for, by the numbers of parts in ``sizes``, is listed as one
+        folder."""
+        columns, sizes = self.columns, sizes or {}
         fields = [f for f in self.schema.fields if f.name != self.part]
         stored = T.StructType(
             [*fields, T.StructField("slot", T.StringType()), T.StructField(self.part, T.IntegerType())]
         )
         if not parts:
             return spark.createDataFrame([], stored).select(*columns)
-        folders = [self.folder(slot, value) for value, slot in sorted(parts.items())]
+        wanted = Counter(parts.values())
+        whole = {slot for slot, n in wanted.items() if sizes.get(slot) == n}
+        folders = [self.folder(slot) for slot in sorted(whole)]
+        folders += [self.folder(slot, value) for value, slot in sorted(parts.items()) if slot not in whole]
         return spark.read.schema(stored).option("basePath", self.root).parquet(*folders).select(*columns)
 
 
@@ -116,6 +124,8 @@ class Version:
     parts: Mapping[str, Mapping[int, str]] = field(default_factory=dict)
     batches: frozenset[tuple[str, str]] = frozenset()
     measures: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
+    # Parts that a slot holds in all, live or not, by table.
+    sizes: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
 
     def carried(self, slot: str, origin: str | None) -> Version:
         """The same parts as the beginning of another attempt's version."""
@@ -124,8 +134,19 @@ class Version:
     def with_parts(self, table: str, replaced: Iterable[int], written: Iterable[int]) -> Version:
         """A table's parts after ``replaced`` ones gave way to those ``written`` in
         this version's slot."""
-        old = {v: s for v, s in self.parts.get(table, {}).items() if v not in set(replaced)}
-        return replace(self, parts={**self.parts, table: old | {v: self.slot for v in written}})
+        gone, written = set(replaced), list(written)
+        parts = {v: s for v, s in self.parts.get(table, {}).items() if v not in gone} | {v: self.slot for v in written}
+        sizes = {s: n for s, n in self.sizes.get(table, {}).items() if s in set(parts.values())}
+        if written:
+            sizes[self.slot] = len(written)
+        return replace(self, parts={**self.parts, table: parts}, sizes={**self.sizes, table: sizes})
+
+    def read(self, spark: SparkSession, table: PartTable, values: Iterable[int] | None = None) -> DataFrame:
+        """A table of this version, or those of its parts that are among ``values``."""
+        held = self.parts.get(table.name, {})
+        if values is not None:
+            held = {v: held[v] for v in values if v in held}
+        return table.read(spark, held, self.sizes.get(table.name))
 
     def with_measures(self, table: str, values: Mapping[str, int]) -> Version:
         return replace(self, measures={**self.measures, table: dict(values)})
@@ -140,6 +161,7 @@ class Version:
             # A table without parts is still a table.
             *(("table", t, None, None, None) for t in self.parts),
             *(("batch", source, batch, None, None) for source, batch in sorted(self.batches)),
+            *(("size", t, None, s, n) for t, found in self.sizes.items() for s, n in found.items()),
             *(("measure", t, m, None, n) for t, found in self.measures.items() for m, n in found.items()),
         ]
         spark.createDataFrame(rows, VERSION_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
@@ -148,6 +170,7 @@ class Version:
     def load(spark: SparkSession, path: str) -> Version:
         parts: dict[str, dict[int, str]] = {}
         measures: dict[str, dict[str, int]] = {}
+        sizes: dict[str, dict[str, int]] = {}
         batches, changed, layout = set(), set(), {}
         for r in spark.read.schema(VERSION_SCHEMA).parquet(path).collect():
             if r["entry"] == "part":
@@ -158,10 +181,19 @@ class Version:
                 batches.add((r["table_name"], r["name"]))
             elif r["entry"] == "measure":
                 measures.setdefault(r["table_name"], {})[r["name"]] = r["number"]
+            elif r["entry"] == "size":
+                sizes.setdefault(r["table_name"], {})[r["slot"]] = r["number"]
             elif r["entry"] == "changed":
                 changed.add(r["table_name"])
             else:
                 layout[r["name"]] = r["number"] if r["name"] == "buckets" else r["slot"]
         return Version(
-            layout["slot"], layout["buckets"], layout["origin"], frozenset(changed), parts, frozenset(batches), measures
+            layout["slot"],
+            layout["buckets"],
+            layout["origin"],
+            frozenset(changed),
+            parts,
+            frozenset(batches),
+            measures,
+            sizes,
         )

@@ -16,5 +16,7 @@ def spark():
     # The rows of createDataFrame count as small, so that joins are split for
     # hot keys only where a test asks for it.
     session.conf.set("spark.sql.defaultSizeInBytes", str(64 * 1024**2))
+    # Small tables are written by several tasks, as large ones are.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1")
     yield session
     session.stop()

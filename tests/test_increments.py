@@ -168,9 +168,9 @@ def test_a_merge_reads_new_batches_and_touched_buckets(spark, lakes, monkeypatch
     read = []
     parts_read, batches_read = store.PartTable.read, store.read_batches
 
-    def seen_parts(self, spark, parts, **options):
+    def seen_parts(self, spark, parts, *sizes):
         read.append((self.name, dict(parts)))
-        return parts_read(self, spark, parts, **options)
+        return parts_read(self, spark, parts, *sizes)
 
     def seen_batches(spark, lake, name, wanted):
         df = batches_read(spark, lake, name, wanted)

@@ -4,7 +4,7 @@ the plain definition rather than the shapes the Spark plans take."""
 from __future__ import annotations
 
 from shopledger.schemas import EVENT_TYPES, ORDER_STATUSES, PAYMENT_METHODS
-from verification.queries import RUN_ID, SALT, WATERMARKS
+from verification.queries import RUN_ID, SALT, SEEK_AFTER, WATERMARKS
 
 
 def _id(prefix: str, key: str) -> str:
@@ -97,6 +97,9 @@ _VIEWS = {
         FROM latest_items GROUP BY order_id) t ON t.order_id = {_id('ORD', 'o_orderkey')}""",
     "src_campaign_events": _events("'click'"),
     "src_all_events": _events("event_type"),
+    "later": f"""
+    SELECT * FROM src_campaign_events
+    WHERE (updated_at, event_id) > (TIMESTAMP '{SEEK_AFTER[0]}', '{SEEK_AFTER[1]}')""",
     "s_customers": f"""
     SELECT customer_id, sha256(email || ':{SALT}') AS email_hash,
            '***-***-' || right(phone, 4) AS phone_masked, city AS customer_city,
@@ -501,6 +504,15 @@ _EVIDENCE = " UNION ALL ".join(
 _PRODUCTS = f"""SELECT category, product_name, {_rounded('revenue')} AS revenue,
     {_long('units')} AS units, orders FROM vw_product_performance"""
 
+_LOW, _HIGH = (f"(SELECT {end}(sales_key) FROM fact_sales)" for end in ("MIN", "MAX"))
+_LOADS = {
+    "reloaded": "SELECT * FROM fact_sales",
+    "amount": f"""SELECT * REPLACE (CAST(CASE WHEN sales_key = {_LOW} THEN gross_amount + 0.01
+        ELSE gross_amount END AS DECIMAL(12,2)) AS gross_amount) FROM fact_sales""",
+    "doubled": f"""SELECT * FROM fact_sales WHERE sales_key <> {_LOW}
+        UNION ALL SELECT * FROM fact_sales WHERE sales_key = {_HIGH}""",
+}
+
 _SELECTS = {
     "extract_incremental": f"""SELECT * FROM src_orders
         WHERE updated_at > TIMESTAMP '{_after('orders')}'""",
@@ -514,6 +526,36 @@ _SELECTS = {
     "events_ordered_page": """SELECT *, (SELECT COUNT(*) FROM src_campaign_events) AS total,
         (SELECT COUNT(*) FROM src_campaign_events) > 200 AS has_more
         FROM src_campaign_events ORDER BY updated_at, event_id LIMIT 100 OFFSET 100""",
+    "events_seek_page": f"""SELECT *, (SELECT COUNT(*) FROM later) > 200 AS has_more
+        FROM later ORDER BY updated_at, event_id LIMIT 200""",
+    "events_readable": """SELECT *, (SELECT COUNT(*) FROM src_campaign_events
+            WHERE CAST(substr(event_id, 4) AS INTEGER) % 97 = 0) AS set_aside
+        FROM src_campaign_events WHERE CAST(substr(event_id, 4) AS INTEGER) % 97 <> 0""",
+    "bronze_append_read": f"""SELECT *,
+        CASE WHEN updated_at > TIMESTAMP '{_after('orders')}' THEN DATE '2026-01-02' ELSE DATE '2026-01-01' END AS ingested_date,
+        CASE WHEN updated_at > TIMESTAMP '{_after('orders')}' THEN 'r2' ELSE 'r1' END AS run_id FROM src_orders""",
+    "fixture_csv_read": f"""SELECT * REPLACE ({_double('unit_price', 'line_amount')})
+        FROM s_order_items""",
+    "silver_published_copy": f"""SELECT table_name, first_rows, first_rows AS second_rows, TRUE AS same
+        FROM ({_counts("table_name", "first_rows", "s_")})""",
+    "silver_publish_plan": f"""SELECT table_name, n > 0 AS has_files, n > 0 AS has_bytes
+        FROM ({_counts("table_name", "n", "s_")})""",
+    "incremental_silver_orders": "SELECT * FROM s_orders",
+    "incremental_silver_order_items": f"""SELECT * REPLACE ({_double('unit_price', 'line_amount')})
+        FROM s_order_items""",
+    "incremental_fact_sales": _SALES,
+    "incremental_daily_sales": f"SELECT calendar_date, * EXCLUDE (calendar_date) FROM "
+    f"({_TOTALS}, calendar_date FROM vw_daily_sales)",
+    "incremental_product_performance": _PRODUCTS,
+    "incremental_customer_segments": f"""SELECT customer_segment, customers, orders,
+        {_rounded('revenue')} AS revenue FROM vw_customer_segments""",
+    "load_fingerprint": " UNION ALL ".join(
+        f"""SELECT '{load}' AS load, (SELECT COUNT(*) FROM fact_sales) AS first_rows,
+            (SELECT COUNT(*) FROM ({other})) AS second_rows,
+            NOT EXISTS (SELECT * FROM fact_sales EXCEPT ALL ({other}))
+            AND NOT EXISTS (({other}) EXCEPT ALL SELECT * FROM fact_sales) AS same"""
+        for load, other in _LOADS.items()
+    ),
     "source_counts": _counts("source", "rows", "src_"),
     "silver_customers": "SELECT * FROM s_customers",
     "silver_products": f"SELECT * REPLACE ({_double('unit_price')}) FROM s_products",

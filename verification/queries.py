@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +17,16 @@ from shopledger.operators import (
     extract_manifest,
     latest_by_key,
     ordered_page,
+    same_rows,
+    seek_page,
 )
 from shopledger.plans import marts, quality, runs
-from shopledger.plans.silver import row_counts, silver_table
+from shopledger.plans.silver import changes, row_counts, silver_table, with_changes
+from shopledger.plans.states import STATES
 from shopledger.plans.warehouse import (
     DIMENSIONS,
     FACTS,
+    affected_orders,
     dim_channel,
     dim_customer,
     dim_date,
@@ -28,10 +34,13 @@ from shopledger.plans.warehouse import (
     fact_campaign_events,
     fact_sales,
     load_assertions,
+    sales_of_orders,
 )
-from shopledger.schemas import EVENT_FEED_SCHEMA, ITEM_FIXTURE_SCHEMA, SOURCES
+from shopledger.schemas import EVENT_FEED_SCHEMA, ITEM_FIXTURE_SCHEMA, REJECTED_RECORD, SOURCE_SCHEMAS, SOURCES
 from shopledger.session import prepare, shared_folder
-from shopledger.sources.lake import written
+from shopledger.sources import lake as store
+from shopledger.sources.inputs import parsed_events, read_item_fixture
+from shopledger.sources.lake import Lake, written
 from shopledger.sources.sample import campaign_events, sample_source
 from verification.faults import faulty_silver
 
@@ -165,6 +174,147 @@ class Sample:
         }
 
 
+class Increment:
+    """The sample as it was before its last batch, and what that batch makes of it: an
+    order in ten is new with its items and payments, one in three moves to another day and
+    status, and the rest is read once more."""
+
+    _OF_ORDERS = ("orders", "order_items", "payments")
+
+    def __init__(self, sample: Sample):
+        self.sample, spark = sample, sample.spark
+        before = {name: silver_table(name, self._earlier(name), salt=SALT) for name in SOURCES}
+        self.before = written(spark, before, shared_folder(spark))
+        changed = {name: changes(name, self.before[name], sample.silver[name]) for name in SOURCES}
+        self.changed = written(spark, changed, shared_folder(spark))
+        self.silver = {name: with_changes(name, self.before[name], self.changed[name]) for name in SOURCES}
+
+    def _earlier(self, name: str) -> DataFrame:
+        rows = self.sample.sources[name]
+        if name not in self._OF_ORDERS:
+            return rows
+        number = F.substring("order_id", 4, 9).cast("int")
+        rows = rows.where(number % 10 != 0)
+        if name == "orders":
+            moved = number % 3 == 0
+            rows = rows.withColumns(
+                {
+                    "order_status": F.when(moved, "Pending").otherwise(F.col("order_status")),
+                    "order_timestamp": F.col("order_timestamp") + F.when(moved, F.expr("INTERVAL 40 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS")),
+                    "updated_at": F.col("updated_at") - F.expr("INTERVAL 1 HOUR"),
+                }
+            )
+        return rows
+
+    def facts(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Sales facts before, ids of the affected orders, and their facts now."""
+        spark = self.sample.spark
+        tables = {
+            "before": fact_sales(self.before, verified=True),
+            "affected": affected_orders(self.changed),
+        }
+        kept = written(spark, tables, shared_folder(spark))
+        now = {"now": sales_of_orders(self.silver, kept["affected"])}
+        return kept["before"], kept["affected"], written(spark, now, shared_folder(spark))["now"]
+
+    def sales(self) -> DataFrame:
+        before, affected, now = self.facts()
+        return before.join(affected, "order_id", "left_anti").unionByName(now)
+
+    def state(self, name: str) -> DataFrame:
+        before, affected, now = self.facts()
+        state, products = STATES[name], dim_product(self.before["products"])
+        was = before.join(affected, "order_id", "left_semi")
+        moved = state.difference(state.of(was, products), state.of(now, products))
+        return state.plus(state.of(before, products), moved)
+
+    def daily(self) -> DataFrame:
+        return marts.daily_view(self.state("state_days"), self.sample.warehouse["dim_date"])
+
+    def segments(self) -> DataFrame:
+        return marts.segment_view(self.state("state_customers"), self.sample.warehouse["dim_customer"])
+
+
+def _bronze_read(s: Sample) -> DataFrame:
+    """Orders, appended in two runs and read back."""
+    lake, orders = Lake(shared_folder(s.spark)), s.sources["orders"]
+    late = F.col("updated_at") > F.lit(WATERMARKS["orders"]).cast("timestamp")
+    for run, rows, day in (("r1", orders.where(~late), 1), ("r2", orders.where(late), 2)):
+        store.append_bronze(rows, lake, "orders", run_id=run, ingested_date=date(2026, 1, day))
+    columns = [*SOURCE_SCHEMAS["orders"].fieldNames(), "ingested_date", "run_id"]
+    return store.read_bronze(s.spark, lake, "orders").select(*columns)
+
+
+def _fixture_read(s: Sample) -> DataFrame:
+    """Order items, written as CSV and read as a fixture."""
+    path = shared_folder(s.spark)
+    s.silver["order_items"].write.option("header", True).csv(path)
+    return read_item_fixture(s.spark, path)
+
+
+def _published_copy(s: Sample) -> DataFrame:
+    """Silver as a version of one lake, copied to another: rows and likeness by table."""
+    here, there = Lake(shared_folder(s.spark)), Lake(shared_folder(s.spark))
+    store.stage_silver(s.spark, s.silver, here, "s")
+    copied = store.read_silver(s.spark, there, store.copy_silver(s.spark, here, "s", there, "t"))
+    parts = [
+        same_rows(s.silver[name], copied[name]).select(F.lit(name).alias("table_name"), "*") for name in SOURCES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _publish_plan(s: Sample) -> DataFrame:
+    """Which tables a publication would copy, and that their files hold bytes."""
+    lake = Lake(shared_folder(s.spark))
+    store.stage_silver(s.spark, s.silver, lake, "s")
+    plan = store.publish_plan(s.spark, lake, "s")
+    return plan.select("table_name", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > F.col("files")).alias("has_bytes"))
+
+
+def _load_fingerprint(s: Sample) -> DataFrame:
+    """Two loads of the same data, and loads with one amount changed and with a row
+    doubled beside a lost one, by checksum of whole rows."""
+    sales = written(s.spark, {"sales": s.warehouse["fact_sales"]}, shared_folder(s.spark))["sales"]
+    ends = sales.agg(F.min("sales_key").alias("low"), F.max("sales_key").alias("high"))
+    low, high = (ends.select(c).scalar() for c in ("low", "high"))
+    at_low = F.col("sales_key") == low
+    amount = F.when(at_low, F.col("gross_amount") + F.lit("0.01").cast("decimal(12,2)")).otherwise(F.col("gross_amount"))
+    others = {
+        "reloaded": s.reloaded_sales,
+        "amount": sales.withColumn("gross_amount", amount.cast("decimal(12,2)")),
+        "doubled": sales.where(~at_low).unionByName(sales.where(F.col("sales_key") == high)),
+    }
+    parts = [same_rows(sales, df).select(F.lit(name).alias("load"), "*") for name, df in others.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _wire_lines(events: DataFrame) -> DataFrame:
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    times = {
+        name: F.concat(F.date_format(name, iso), F.lit("+00:00"))
+        for name in ("event_timestamp", "updated_at")
+    }
+    return events.withColumns(times).select("event_id", F.to_json(F.struct("*")).alias("value"))
+
+
+def _readable_events(s: Sample) -> DataFrame:
+    """The feed with every 97th line cut short: the events that can be read, each with
+    the number of lines set aside."""
+    lines = _wire_lines(s.sources["campaign_events"])
+    cut = F.substring("event_id", 4, 9).cast("int") % 97 == 0
+    events = parsed_events(lines.select(F.when(cut, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value")))
+    aside = events.agg(F.count(REJECTED_RECORD)).scalar()
+    return events.where(F.col(REJECTED_RECORD).isNull()).drop(REJECTED_RECORD).withColumn("set_aside", aside)
+
+
+SEEK_AFTER = ("2024-01-10 00:00:00", "EVT000000000")
+
+
+def _seek_page(s: Sample) -> DataFrame:
+    after = (datetime.fromisoformat(SEEK_AFTER[0]).replace(tzinfo=timezone.utc), SEEK_AFTER[1])
+    return seek_page(s.sources["campaign_events"], ["updated_at", "event_id"], after=after, limit=200)
+
+
 def bad_item(spark: SparkSession) -> DataFrame:
     """One order item with an unknown product and negative amounts."""
     values = {
@@ -219,12 +369,7 @@ def _quality_log(items: DataFrame) -> DataFrame:
 
 def _json_feed(events: DataFrame) -> DataFrame:
     """The event source through its wire format: JSON text with ISO times."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    times = {
-        name: F.concat(F.date_format(name, iso), F.lit("+00:00"))
-        for name in ("event_timestamp", "updated_at")
-    }
-    lines = events.withColumns(times).select(F.to_json(F.struct("*")).alias("line"))
+    lines = _wire_lines(events).select(F.col("value").alias("line"))
     return utc_timestamps(
         lines.select(F.from_json("line", EVENT_FEED_SCHEMA).alias("event")).select("event.*")
     )
@@ -309,6 +454,19 @@ _QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "events_ordered_page": lambda s: ordered_page(
         s.sources["campaign_events"], ["updated_at", "event_id"], offset=100, limit=100
     ),
+    "events_seek_page": _seek_page,
+    "events_readable": _readable_events,
+    "bronze_append_read": _bronze_read,
+    "fixture_csv_read": _fixture_read,
+    "silver_published_copy": _published_copy,
+    "silver_publish_plan": _publish_plan,
+    "incremental_silver_orders": lambda s: Increment(s).silver["orders"],
+    "incremental_silver_order_items": lambda s: Increment(s).silver["order_items"],
+    "incremental_fact_sales": lambda s: Increment(s).sales(),
+    "incremental_daily_sales": lambda s: Increment(s).daily(),
+    "incremental_product_performance": lambda s: Increment(s).state("state_products"),
+    "incremental_customer_segments": lambda s: Increment(s).segments(),
+    "load_fingerprint": _load_fingerprint,
     "source_counts": lambda s: row_counts(s.sources, "source", "rows"),
     "silver_customers": _silver("customers"),
     "silver_products": _silver("products"),
