@@ -189,6 +189,7 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 _TOTAL = "decimal(22,2)"
+_AGREES = "payment agrees"
 
 
 def key_level(silver: Silver, parent: str, key: str) -> DataFrame:
@@ -236,47 +237,60 @@ def orphans_by_relationship(silver: Silver) -> DataFrame:
 
 def relationship_failures(silver: Silver, *, payments: bool = True) -> DataFrame:
     """Orphans of each relationship and, under the name of that check, the payments
-    that differ from their order's items, from one pass at the level of each key.
-
-    Amounts have two places, so a payment agrees with its order within the tolerance
-    if its amount is one of three values; agreeing payments are counted by a second
-    aggregate on order and amount, in which a hot order is spread over its amounts. The
-    rest of the comparable payments differ."""
+    that differ from their order's items, from one pass at the level of each key."""
     parts = []
     for (parent, key), children in _parents().items():
         level = key_level(silver, parent, key)
-        unknown = [
-            F.coalesce(F.sum(F.when(~F.col("known"), F.col(f"n_{child}"))), F.lit(0)).alias(
-                _relationship(child, key, parent)
-            )
+        unknown = {
+            _relationship(child, key, parent): F.when(~F.col("known"), F.col(f"n_{child}")).otherwise(0)
             for child in children
-        ]
+        }
         if payments and parent == "orders":
-            comparable = F.col(key).isNotNull() & F.col("item_total").isNotNull()
-            unknown.append(
-                F.coalesce(F.sum(F.when(comparable, F.col("n_amounts"))), F.lit(0)).alias(PAYMENT_RECONCILES)
-            )
-            agreeing = _agreeing_payments(level, silver["payments"])
-            parts.append(agreeing.select(F.lit(PAYMENT_RECONCILES).alias("relationship"), (-F.col("n")).alias("failures")))
-        wide = level.agg(*unknown)
+            parts.append(_order_failures(level, unknown, silver["payments"]))
+            continue
+        sums = [F.coalesce(F.sum(n), F.lit(0)).alias(name) for name, n in unknown.items()]
+        wide = level.agg(*sums)
         parts.append(wide.unpivot([], [F.col(f"`{c}`") for c in wide.columns], "relationship", "failures"))
     summed = reduce(DataFrame.unionByName, parts).groupBy("relationship")
     return summed.agg(F.sum("failures").cast("bigint").alias("failures"))
 
 
-def _agreeing_payments(orders: DataFrame, payments: DataFrame) -> DataFrame:
-    """One row: payments whose amount is the total of their order's items, give or
-    take the tolerance."""
+def _order_failures(orders: DataFrame, unknown: Mapping[str, Column], payments: DataFrame) -> DataFrame:
+    """Rows (relationship, failures) of the ``unknown`` children and of the payments that
+    differ from their order's items.
+
+    Amounts have two places, so a payment agrees with its order within the tolerance
+    if its amount is one of three values. The order level gives its counts and these
+    values in one go; payments meet the values under an aggregate on order and amount,
+    in which a hot order is spread over its amounts. Comparable payments that do not
+    agree differ."""
+    comparable = F.col("order_id").isNotNull() & F.col("item_total").isNotNull()
     cent = F.lit(AMOUNT_TOLERANCE).cast(_TOTAL)
-    totals = orders.where(F.col("order_id").isNotNull() & F.col("item_total").isNotNull() & (F.col("n_amounts") > 0))
-    near = F.array(*(value.cast(_TOTAL) for value in (F.col("item_total") - cent, F.col("item_total"), F.col("item_total") + cent)))
-    right = totals.select("order_id", F.explode(near).alias("amount"), F.lit(True).alias("right"))
+    total = F.col("item_total")
+
+    def row(name: str, n: Column, order: Column | None = None, amount: Column | None = None, right: bool = False) -> Column:
+        return F.struct(
+            F.lit(name).alias("relationship"),
+            (F.lit(None) if order is None else order).cast("string").alias("order_id"),
+            (F.lit(None) if amount is None else amount).cast(_TOTAL).alias("amount"),
+            n.cast("bigint").alias("n"),
+            F.lit(right).alias("right"),
+        )
+
+    counts = [row(name, n) for name, n in unknown.items()]
+    counts.append(row(PAYMENT_RECONCILES, F.when(comparable, F.col("n_amounts")).otherwise(0)))
+    near = [row(_AGREES, F.lit(0), F.col("order_id"), value, True) for value in (total - cent, total, total + cent)]
+    given = F.when(comparable & (F.col("n_amounts") > 0), F.array(*counts, *near)).otherwise(F.array(*counts))
     paid = payments.where(F.col("payment_amount").isNotNull() & F.col("order_id").isNotNull()).select(
-        "order_id", F.col("payment_amount").cast(_TOTAL).alias("amount"), F.lit(1).alias("n")
+        row(_AGREES, F.lit(1), F.col("order_id"), F.col("payment_amount")).alias("given")
+    )
+    met = orders.select(F.explode(given).alias("given")).unionByName(paid).select("given.*")
+    summed = met.groupBy("relationship", "order_id", "amount").agg(F.sum("n").alias("n"), F.max("right").alias("right"))
+    agrees = F.col("relationship") == _AGREES
+    return summed.where(~agrees | F.col("right")).select(
+        F.when(agrees, PAYMENT_RECONCILES).otherwise(F.col("relationship")).alias("relationship"),
+        F.when(agrees, -F.col("n")).otherwise(F.col("n")).alias("failures"),
     )
-    met = right.unionByName(paid, allowMissingColumns=True).groupBy("order_id", "amount")
-    counted = met.agg(F.max("right").alias("right"), F.sum("n").alias("n"))
-    return counted.where("right").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 def payment_mismatches(

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -152,6 +153,34 @@ def test_row_checks_scan_each_table_once(spark, tmp_path):
         assert plan.count("FileScan parquet") == scans * len(tables)
 
 
+def test_items_are_shuffled_once_by_their_order(spark, tmp_path):
+    """Orphans of orders and the reconciliation come from one aggregate of the items."""
+    tables = {}
+    for name, df in silver(spark).items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.schema(df.schema).parquet(str(tmp_path / name))
+    checks = [quality.REFERENTIAL_INTEGRITY, quality.PAYMENT_RECONCILES]
+    plan = quality.check_frame(tables, checks)._jdf.queryExecution().executedPlan().toString()
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\][^\n]*", plan)
+    items = [s for s in scans if "order_id" in s and "line_amount" in s]
+    assert len(items) == 1 and sum("payment_amount" in s for s in scans) == 2
+    assert len(scans) == 3 + 4 + 2 and "Join" not in plan
+    assert plan.count("partial_sum") and "partial_max" in plan
+
+
+def test_payments_of_a_hot_order_by_amount(spark):
+    """Amounts a cent off agree, a second payment of an order counts by itself, and
+    payments without an order are not compared."""
+    payments = [(f"Y{i}", "O1", "card", Decimal(1095 + i % 11) / 100, at(2), at(2)) for i in range(110)]
+    payments += [("Z1", "O3", "card", Decimal("2.00"), at(2), at(2)), ("Z2", "O3", "card", Decimal("3.00"), at(2), at(2))]
+    payments += [("Z3", None, "card", Decimal("2.00"), at(2), at(2)), ("Z4", "O9", "card", Decimal("2.00"), at(2), at(2))]
+    tables = silver(spark, payments=payments)
+    found = failures(tables)
+    assert found[quality.PAYMENT_RECONCILES] == 80 + 1
+    listed = quality.payment_mismatches(tables["payments"], tables["order_items"])
+    assert listed.count() == 81 and found[quality.REFERENTIAL_INTEGRITY] == 2
+
+
 def test_orphans_use_an_anti_join_on_combined_keys(spark):
     tables = silver(spark)
     plan = quality.orphans(tables["orders"], tables["customers"], "customer_id")
