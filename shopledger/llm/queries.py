@@ -33,7 +33,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Rates that bring the expected tokens to 80 % high, 15 % low, 5 % toxic."""
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    return mixing.mixed(docs, labels, targets=[0.80, 0.15, 0.05])
+    return mixing.mixed(docs, labels, targets=[0.80, 0.15, 0.05]).drop("key")
 
 
 def op2_multi_index_search(spark: SparkSession, folder: str) -> DataFrame:

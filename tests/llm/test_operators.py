@@ -246,6 +246,34 @@ def test_mixture_meets_its_targets(spark):
     assert mixing.mixed(docs.limit(0), labels, targets=[0.7, 0.2, 0.1]).count() == 0
 
 
+@pytest.mark.parametrize("wanted", [[0.7, 0.2, 0.1], [0.8, 0.15, 0.05], [0.1, 0.1, 0.9], [0.98, 0.02, 0.0]])
+def test_rates_equal_nonnegative_least_squares(spark, wanted):
+    """Against projected gradient steps on every document's rate, in memory; the last
+    targets cannot be met, since every document is a little toxic."""
+    draw = np.random.default_rng(3)
+    grid = np.rint(draw.dirichlet((2.0, 1.0, 0.6), 400) * 0.97 * mixing.GRID + 0.01 * mixing.GRID).astype(int)
+    tokens = draw.integers(1, 50, 400)
+    rows = [(i, int(t), g.tolist(), bytes([i % 256])) for i, (t, g) in enumerate(zip(tokens, grid, strict=True))]
+    df = spark.createDataFrame([*rows, (None, 0, grid[0].tolist(), b"x")], "doc_id long, tokens long, grid array<long>, key binary")
+    found = mixing.fit(df, wanted)
+    p = grid / grid.sum(1, keepdims=True)
+    weight = tokens / tokens.sum()
+    gram = (p * weight[:, None]).T @ p
+    rate, look, momentum = np.ones(400), np.ones(400), 1.0
+    for _ in range(60_000):
+        moved = np.maximum(0, look - p @ (weight * look @ p - wanted) / np.linalg.eigvalsh(gram)[-1])
+        following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        rate, look, momentum = moved, moved + (momentum - 1) / following * (moved - rate), following
+    best = weight * rate @ p
+    assert np.abs(np.array(found.reached) - best).max() < 2e-4
+    out = mixing.with_rates(df, found, mixing.DOMAINS).toPandas()
+    assert (out["rate"] >= 0).all() and len(out) == 401
+    if wanted[-1]:
+        assert np.allclose(found.reached, wanted, atol=1e-5)
+    else:
+        assert not np.allclose(found.reached, wanted, atol=1e-3)
+
+
 def test_unlabelled_toxic_documents_are_known(spark):
     # Each document has rare words of its own, which say nothing of other documents.
     pick = random.Random(5)
