@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from shopledger.functions import utc_timestamps
 from shopledger.operators import same_rows
 from shopledger.schemas import (
+    EVENT_SOURCE,
     FACT_TABLES,
     PRIMARY_KEYS,
     PUBLISH_LOG_SCHEMA,
@@ -122,12 +123,12 @@ def append_bronze(
     repeated under its own id, after the watermark has moved, keeps what its first
     attempt wrote, and Silver takes rows that came twice as one.
 
-    Rows with a ``rejected_record`` go, in the same pass, to a batch next to it that only
+    Rows of the feed with a ``rejected_record`` go, in the same pass, to a batch next to it that only
     ``read_rejected`` reads."""
     batch_id = batch_id or new_slot(source)
     seen = Observation()
     schema = SOURCE_SCHEMAS[source]
-    if REJECTED_RECORD in batch.columns:
+    if source == EVENT_SOURCE and REJECTED_RECORD in batch.columns:
         schema = T.StructType([*schema.fields, T.StructField(REJECTED_RECORD, T.StringType())])
         bad = F.col(REJECTED_RECORD).isNotNull()
     else:
@@ -184,7 +185,8 @@ def read_bronze(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     if not has_parquet(spark, path):
         raise FileNotFoundError(f"Source {source!r} has no batch in Bronze yet ({path})")
     batches = spark.read.schema(_bronze_schema(source)).option("pathGlobFilter", "*.parquet").parquet(path)
-    return batches.where(~F.col("batch").startswith(_REJECTED))
+    # Only the feed has records that cannot be read.
+    return batches.where(~F.col("batch").startswith(_REJECTED)) if source == EVENT_SOURCE else batches
 
 
 def read_rejected(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
