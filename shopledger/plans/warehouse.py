@@ -297,11 +297,11 @@ def load_assertions(silver: Silver, warehouse: Warehouse) -> DataFrame:
 def require_loaded(metrics: dict) -> None:
     """Raise on the driver from the one row of ``load_assertions``."""
     if not metrics["sales_keys_unique"]:
-        raise WarehouseLoadError("Sales keys of the loaded facts repeat.")
+        raise WarehouseLoadError("Loaded sales facts have duplicate keys.")
     if not metrics["revenue_reconciles"]:
         raise WarehouseLoadError(
-            f"Facts hold a revenue of {metrics['warehouse_revenue']}, "
-            f"Silver one of {metrics['silver_revenue']}."
+            f"Revenue does not reconcile: {metrics['warehouse_revenue']} in the facts, "
+            f"{metrics['silver_revenue']} in Silver."
         )
     if metrics["key_collisions"]:
         raise WarehouseLoadError(f"{metrics['key_collisions']} surrogate keys collide.")
