@@ -92,29 +92,38 @@ counts AS (
     SELECT texts.r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
            CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
            CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-           CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+           len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
            CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
     FROM texts LEFT JOIN repeated ON texts.r = repeated.r),
 rated AS (
-    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-           n_symbols / greatest(n_words, 1) AS a, n_dup_lines / greatest(n_words, 1) AS b,
-           n_repeat_words / greatest(n_words, 1) AS c, word_chars / greatest(n_words, 1) AS d
-    FROM counts),
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts),
+measures AS (
+    SELECT r, lang, source, m, n, len FROM rated, LATERAL (VALUES
+        ('symbols', n_symbols, n_words), ('dup_lines', n_dup_lines, n_lines),
+        ('repeats', n_repeat_words, n_words), ('letters', word_chars, n_words)) AS t(m, n, len)
+    WHERE NOT base_failed),
 spread AS (
-    SELECT lang, source, grouping(lang) AS any_lang, grouping(source) AS any_source, count(*) AS n,
-           quantile_disc(a, [0.5, 0.9]) AS a, quantile_disc(b, [0.5, 0.9]) AS b,
-           quantile_disc(c, [0.5, 0.9]) AS c, quantile_disc(d, [0.5, 0.9]) AS d
-    FROM rated WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source), (lang), ())),
+    SELECT lang, source, m, grouping(lang) AS everything, count(*) AS docs, quantile_disc(n / len, [0.1, 0.5, 0.9]) AS q,
+           1.0::DOUBLE / quantile_disc(len, 0.5) AS one
+    FROM measures GROUP BY GROUPING SETS ((lang, source, m), (m))),
 fences AS (
-    SELECT lang, source, any_lang, any_source,
-           greatest(a[2] + 5.0::DOUBLE * (a[2] - a[1]), 0.10::DOUBLE) AS fa, greatest(b[2] + 5.0::DOUBLE * (b[2] - b[1]), 0.30::DOUBLE) AS fb,
-           greatest(c[2] + 5.0::DOUBLE * (c[2] - c[1]), 0.20::DOUBLE) AS fc, greatest(d[2] + 5.0::DOUBLE * (d[2] - d[1]), 12.0::DOUBLE) AS fd
-    FROM spread WHERE n >= 30 OR any_lang = 1),
+    SELECT lang, source, m, everything, docs, greatest(q[2] + 5.0::DOUBLE * (q[2] - q[1]), one) AS low,
+           greatest(q[3] + 5.0::DOUBLE * (q[3] - q[2]), one) AS high
+    FROM spread),
+voters AS (SELECT * FROM fences WHERE everything = 0 AND docs >= 30),
+by_language AS (SELECT lang, m, quantile_disc(high, 0.5) AS high FROM voters GROUP BY lang, m),
+by_all AS (
+    SELECT f.m, coalesce((SELECT quantile_disc(v.high, 0.5) FROM voters v WHERE v.m = f.m), f.high) AS high
+    FROM fences f WHERE everything = 1),
 judged AS (
-    SELECT rated.r, arg_min(a <= fa AND b <= fb AND c <= fc AND d <= fd, any_lang + any_source) AS inside
-    FROM rated JOIN fences ON (any_lang = 1 OR rated.lang IS NOT DISTINCT FROM fences.lang)
-        AND (any_source = 1 OR rated.source IS NOT DISTINCT FROM fences.source)
-    GROUP BY rated.r)
+    SELECT r, bool_and(n <= expected + 2.0::DOUBLE * sqrt(expected + 1.0::DOUBLE)) AS inside
+    FROM (
+        SELECT r, n, greatest(voters.low, least(voters.high, by_language.high, by_all.high)) * len AS expected
+        FROM measures JOIN by_all ON measures.m = by_all.m
+            LEFT JOIN by_language ON measures.m = by_language.m AND measures.lang IS NOT DISTINCT FROM by_language.lang
+            LEFT JOIN voters ON measures.m = voters.m AND measures.lang IS NOT DISTINCT FROM voters.lang
+                AND measures.source IS NOT DISTINCT FROM voters.source)
+    GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(inside, false) AS kept
 FROM rated LEFT JOIN judged ON rated.r = judged.r
