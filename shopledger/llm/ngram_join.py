@@ -9,11 +9,11 @@ segments get deletion neighbourhoods is chosen per band by cost.
 
 Documents with equal shingle sets are one set from the start. Sets that share a
 signature are first compared with the smallest of the bucket, and links found so
-are closed to components; only then are the remaining pairs of a bucket that lie
-in different components compared. So a bucket of many near copies costs about
-its size, and no link between different sets is lost. Parity sketches, which never
-reject a link, thin out the pairs, and every link is verified on the shingle sets
-of the whole texts.
+are closed to components; only then are buckets that still hold several components
+searched: the pairs of small ones, thinned out by parity sketches that never reject a
+link, are verified on the whole texts; the rows of larger ones carry their shingles
+and send only links that join components, fewer than they have rows. So a bucket of
+many near copies sends about its size, and no group is lost.
 """
 
 from __future__ import annotations
@@ -254,15 +254,49 @@ def _near_by_sketch(limit: Threshold):
     return run
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole cells, and the number of each row's cell. Rows come sorted by
+    ``keys``, which name a cell; many small cells come at once."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+
+    def together() -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(held)
+        named = np.stack([table.column(c).to_numpy().astype(np.int64) for c in keys])
+        return table, np.cumsum(np.r_[True, (named[:, 1:] != named[:, :-1]).any(axis=0)])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        named = [batch.column(c).to_numpy() for c in keys]
+        # The last cell of the batch may go on in the next one.
+        same = np.logical_and.reduce([k == k[-1] for k in named])
+        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in keys) and (rows >= CHUNK_ROWS or size >= CELL_BYTES):
+            yield together()
+            held, rows, size = [], 0, 0
+        if cut:
+            held.append(batch.slice(0, cut))
+            rows += cut
+            size += held[-1].nbytes
+            if rows >= CHUNK_ROWS or size >= CELL_BYTES:
+                yield together()
+                held, rows, size = [], 0, 0
+        held.append(batch.slice(cut))
+        rows += batch.num_rows - cut
+        size += held[-1].nbytes
+    if held:
+        yield together()
+
+
 def _near_in_buckets(limit: Threshold):
-    """All pairs of a bucket cell that lie in different components and are
-    rejected neither by size nor by sketch. Rows come sorted by cell; a cell has a
-    bounded number of rows, and many cells are compared at once."""
+    """All pairs of a small bucket that lie in different components and are rejected
+    neither by size nor by sketch. Rows come sorted by ``sig``; a bucket has a bounded
+    number of rows, and many buckets are compared at once."""
 
     def pairs(table: pa.Table, cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         n = table.column("n").to_numpy().astype(np.int64)
-        node, label, part = (table.column(c).to_numpy() for c in ("node", "label", "slice"))
-        across = table.column("c1").to_numpy() != table.column("c2").to_numpy()
+        label = table.column("label").to_numpy()
         width = np.zeros(len(n), dtype=np.int64)
         place = np.zeros(len(n), dtype=np.int64)
         stacks = {}
@@ -277,7 +311,6 @@ def _near_in_buckets(limit: Threshold):
             y = x + step
             total = n[x] + n[y]
             near = (label[x] != label[y]) & (np.minimum(n[x], n[y]) * limit.den >= np.maximum(n[x], n[y]) * limit.num)
-            near &= ~across[x] | (part[x] != part[y])
             i, j, most = x[near], y[near], _difference_limits(total[near], limit)
             for w in stacks:
                 for v in stacks:
@@ -291,44 +324,105 @@ def _near_in_buckets(limit: Threshold):
                         if len(ok):
                             yield i[ok], j[ok]
 
-    def found(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        keys = np.stack([table.column(c).to_numpy() for c in ("sig", "c1", "c2")])
-        cell = np.cumsum(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
-        node, n, prints = (table.column(c).to_numpy() for c in ("node", "n", "print"))
-        both: set[tuple[int, int]] = set()
-        for x, y in pairs(table, cell):
-            swap = node[x] > node[y]
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            fresh = []
-            for k, p in enumerate(zip(node[x].tolist(), node[y].tolist(), strict=True)):
-                if p not in both:
-                    both.add(p)
-                    fresh.append(k)
-            x, y = x[fresh], y[fresh]
-            columns = [n[x], prints[x], node[x], n[y], prints[y], node[y]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], PAIR)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cell in _whole_cells(batches, ["sig"]):
+            node, n, prints = (table.column(c).to_numpy() for c in ("node", "n", "print"))
+            both: set[tuple[int, int]] = set()
+            for x, y in pairs(table, cell):
+                swap = node[x] > node[y]
+                x, y = np.where(swap, y, x), np.where(swap, x, y)
+                fresh = []
+                for k, p in enumerate(zip(node[x].tolist(), node[y].tolist(), strict=True)):
+                    if p not in both:
+                        both.add(p)
+                        fresh.append(k)
+                x, y = x[fresh], y[fresh]
+                columns = [n[x], prints[x], node[x], n[y], prints[y], node[y]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], PAIR)
+
+    return run
+
+
+def joins(sets: list[np.ndarray], labels: np.ndarray, limit: Threshold) -> list[tuple[int, int]]:
+    """Links that connect all sets which links among them connect, where sets of one
+    label are connected to begin with: at most one less than there are labels.
+
+    From each component found so far the search goes on through the sets it reached,
+    each of which is compared exactly with those that no component holds yet."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    mark = np.zeros(len(values), dtype=bool)
+    left = np.ones(len(sets), dtype=bool)
+    rows, row_ids, row_starts = np.arange(len(sets)), ids, starts[:-1]
+    found = []
+
+    def reached(y: int) -> list[int]:
+        mates = np.flatnonzero(left & (labels == labels[y]))
+        left[mates] = False
+        return mates.tolist()
+
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        queue = reached(first)
+        while queue and left.any():
+            x = queue.pop()
+            still = left[rows]
+            if np.count_nonzero(still) < 0.75 * len(rows):
+                row_ids, rows = row_ids[np.repeat(still, sizes[rows])], rows[still]
+                row_starts = np.concatenate(([0], np.cumsum(sizes[rows])[:-1]))
+            own = ids[starts[x] : starts[x + 1]]
+            mark[own] = True
+            both = np.add.reduceat(mark[row_ids], row_starts, dtype=np.int64)
+            mark[own] = False
+            near = left[rows] & (limit.den * both >= limit.num * (sizes[x] + sizes[rows] - both))
+            for y in rows[near].tolist():
+                if left[y]:
+                    found.append((x, y))
+                    queue.extend(reached(y))
+    return found
+
+
+def _joined_in_cells(limit: Threshold):
+    """Links that join the components of each cell, by the shingles its rows carry.
+    Rows come sorted by cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cell in _whole_cells(batches, ["sig", "c1", "c2"]):
+            node, label = (table.column(c).to_numpy() for c in ("node", "label"))
+            sets = [np.frombuffer(s, dtype=_U64) for s in table.column("shingles").to_pylist()]
+            edges = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
+            one, two = [], []
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if (label[a:b] != label[a]).any():
+                    for x, y in joins(sets[a:b], label[a:b], limit):
+                        one.append(node[a + x])
+                        two.append(node[a + y])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(one, type=pa.int64()), pa.array(two, type=pa.int64())], ["left_node", "right_node"]
+            )
+
+    return run
+
+
+def _carried(words: int):
+    """The shingle hashes of each text's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        rows = 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = [batch.column(c).to_numpy() for c in ("sig", "c1", "c2")]
-            # The last cell of the batch may go on in the next one.
-            same = np.logical_and.reduce([k == k[-1] for k in keys])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut:
-                held.append(batch.slice(0, cut))
-                rows += cut
-                if rows >= CHUNK_ROWS:
-                    yield from found(held)
-                    held, rows = [], 0
-            held.append(batch.slice(cut))
-            rows += batch.num_rows - cut
-        if held:
-            yield from found(held)
+            texts = texts_of(batch.column("text"))
+            for a, b in chunks(texts):
+                found = [s for s in shingle_sets(texts[a:b], words) if len(s)]
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([len(s) for s in found], type=pa.int32()),
+                            longs(np.array([fingerprint(s) for s in found], dtype=_U64)),
+                            pa.array([s.tobytes() for s in found], type=pa.binary()),
+                        ],
+                        ["n", "print", "shingles"],
+                    )
 
     return run
 
@@ -355,13 +449,17 @@ def _linked(words: int, limit: Threshold):
 
 PAIR = ["left_n", "left_print", "left_node", "right_n", "right_print", "right_node"]
 _PAIR_TYPES = "left_n int, left_print long, left_node long, right_n int, right_print long, right_node long"
-# Involved documents up to this number are sent to every task as a list of ids
-# (8 MB); beyond it the documents are shuffled to them instead.
-SENT_IDS = 1_000_000
-# Rows of one bucket compared by one task. Larger buckets are cut into slices,
-# and every two slices meet in one cell.
+# Buckets up to this many rows send their pairs, which are verified once however
+# many buckets they meet in. Larger ones do so while their pairs, of PAIR_BYTES,
+# weigh no more than the shingles of their sets; else these are sent instead.
+PAIRED_ROWS = 16
+PAIR_BYTES = 48
+# Rows, and bytes of shingles, of a larger bucket that one task takes at once. Beyond
+# that a bucket is cut into slices, and every two slices that are not joined already
+# meet in one cell.
 CELL_ROWS = 2_048
-# Rows of many small buckets compared at once.
+CELL_BYTES = 32_000_000
+# Rows of many cells taken at once.
 CHUNK_ROWS = 50_000
 
 
@@ -374,8 +472,6 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, limit: Threshold) ->
     whole texts."""
     pairs = written(pairs, "ngram-pairs")
     involved = written(pairs.select(F.explode(F.array("left_node", "right_node")).alias("doc_id")).distinct(), "ngram-ids")
-    if involved.count() <= SENT_IDS:
-        involved = F.broadcast(involved)
     bodies = docs.join(involved, "doc_id", "left_semi").select("text").mapInArrow(_bodies(words), "n int, print long, body binary")
     together = pairs.join(_side(bodies, "left", "n", "print", "body"), ["left_n", "left_print"]).join(
         _side(bodies, "right", "n", "print", "body"), ["right_n", "right_print"]
@@ -383,6 +479,49 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, limit: Threshold) ->
     return written(together.mapInArrow(_linked(words, limit), "left_node long, right_node long"), "ngram-links")
 
 
+def _paired():
+    """Whether a bucket of ``rows`` sets with ``held`` shingles sends its pairs."""
+    lighter = F.col("rows") * F.col("rows") * PAIR_BYTES <= F.col("held") * 16
+    return (F.col("rows") <= PAIRED_ROWS) | ((F.col("rows") <= CELL_ROWS) & lighter)
+
+
+def _open_buckets(shared: DataFrame, ids: DataFrame, first: DataFrame) -> DataFrame:
+    """The sets of all buckets that hold several components, with whether the bucket
+    sends pairs, its slices and the slice of each set. A slice has a bounded number of rows and bytes."""
+    placed = ids.join(first, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    mixed = (
+        shared.join(placed.select("n", "print", "label"), ["n", "print"])
+        .groupBy("sig")
+        .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("rows"), F.sum("n").alias("held"))
+        .where("a <> b")
+        .select(
+            "sig",
+            _paired().alias("paired"),
+            F.greatest(F.ceil(F.col("rows") / CELL_ROWS), F.ceil(F.col("held") * 8 / CELL_BYTES)).cast("int").alias("slices"),
+        )
+    )
+    return (
+        shared.select("sig", "n", "print")
+        .distinct()
+        .join(mixed, "sig")
+        .join(placed, ["n", "print"])
+        .withColumn("slice", F.pmod(F.xxhash64("print", "n"), F.col("slices")).cast("int"))
+    )
+
+
+def _join_cells(cells: DataFrame, carried: DataFrame, limit: Threshold) -> DataFrame:
+    """Links (left_node, right_node) that join the components of each cell."""
+    together = cells.select("sig", "c1", "c2", "n", "print", "node", "label").join(carried, ["n", "print"])
+    return written(
+        together.select("sig", "c1", "c2", "node", "label", "shingles")
+        .repartition("sig", "c1", "c2")
+        .sortWithinPartitions("sig", "c1", "c2")
+        .mapInArrow(_joined_in_cells(limit), "left_node long, right_node long")
+        .distinct(),
+        "ngram-joins",
+    )
+
+
 def near_groups(docs: DataFrame, *, words: int, num: int, den: int) -> DataFrame:
     """Groups of documents linked by Jaccard similarity of at least num/den on
     distinct shingles of ``words`` words, words being runs of bytes other than
@@ -449,34 +588,42 @@ def near_groups(docs: DataFrame, *, words: int, num: int, den: int) -> DataFrame
     links = _verify(hung, texts, words, limit)
     first = components(links, "left_node", "right_node")
 
-    # Then all pairs of a bucket that lie in different components so far.
-    placed = ids.join(first, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    open_rows = shared.join(placed.select("n", "print", "label"), ["n", "print"])
-    mixed = (
-        open_rows.groupBy("sig")
-        .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count("*").alias("rows"))
-        .where("a <> b")
-        .select("sig", F.ceil(F.col("rows") / CELL_ROWS).cast("int").alias("slices"))
-    )
-    cells = (
-        shared.select("sig", "n", "print")
-        .distinct()
-        .join(mixed, "sig")
-        .join(placed.select("n", "print", "node", "label", "sketch"), ["n", "print"])
-        .withColumn("slice", F.pmod(F.xxhash64("print", "n"), F.col("slices")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        .withColumn("c1", F.least("slice", "other"))
-        .withColumn("c2", F.greatest("slice", "other"))
-        .drop("slices", "other")
-    )
+    # Then the buckets that still hold several components, by pairs or by shingles.
+    buckets = written(_open_buckets(shared, ids, first), "ngram-open")
+    small = buckets.where("paired").select("sig", "n", "print", "node", "label", "sketch")
     rest = (
-        cells.repartition("sig", "c1", "c2")
-        .sortWithinPartitions("sig", "c1", "c2")
-        .mapInArrow(_near_in_buckets(limit), _PAIR_TYPES)
-        .distinct()
+        small.repartition("sig").sortWithinPartitions("sig").mapInArrow(_near_in_buckets(limit), _PAIR_TYPES).distinct()
+    )
+    links = links.unionByName(_verify(rest, texts, words, limit))
+
+    large = buckets.where("not paired").select("sig", "n", "print", "node", "label", "slice", "slices")
+    owners = written(large.select(F.col("node").alias("doc_id")).distinct(), "ngram-owners")
+    carried = written(
+        texts.join(owners, "doc_id", "left_semi")
+        .select("text")
+        .mapInArrow(_carried(words), "n int, print long, shingles binary")
+        .groupBy("n", "print")
+        .agg(F.any_value("shingles").alias("shingles")),
+        "ngram-shingles",
     )
-    more = _verify(rest, texts, words, limit)
-    found = components(links.unionByName(more), "left_node", "right_node")
+    links = links.unionByName(_join_cells(large.withColumn("c1", F.col("slice")).withColumn("c2", F.col("slice")), carried, limit))
+    found = components(links, "left_node", "right_node")
+
+    # Slices of one bucket, where it is not one component by now.
+    sliced = large.where("slices > 1").drop("label").join(found, "node", "left")
+    sliced = sliced.withColumn("label", F.coalesce("component", "node")).drop("component")
+    apart = sliced.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("sig")
+    across = written(sliced.join(apart, "sig", "left_semi"), "ngram-across")
+    if not across.isEmpty():
+        # Every two slices meet in one cell; a row goes to one cell for each other slice.
+        cells = (
+            across.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            .where("other <> slice")
+            .withColumn("c1", F.least("slice", "other"))
+            .withColumn("c2", F.greatest("slice", "other"))
+        )
+        links = links.unionByName(_join_cells(cells, carried, limit))
+        found = components(links, "left_node", "right_node")
 
     groups = ids.join(found, "node", "left").select("n", "print", F.coalesce("component", "node").alias("component_id"))
     linked = (F.col("n") > 0) & F.col("doc_id").isNotNull()

@@ -70,6 +70,71 @@ def test_ngram_join_finds_every_link(spark, words, num):
     assert ngram_join.near_groups(_empty(spark), words=words, num=num, den=100).count() == 0
 
 
+def _chained(count: int) -> list[str]:
+    """Texts that each differ a little from one before, in several strands."""
+    pick = random.Random(8)
+    strands = [[f"w{pick.randint(0, 900)}" for _ in range(90)] for _ in range(3)]
+    strands.append([*strands[0][:80], *strands[1][:10]])
+    texts = []
+    for _ in range(count):
+        words = pick.choice(strands)
+        words[pick.randrange(len(words))] = f"x{pick.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize(("paired", "cell"), [(16, 2048), (1, 3)])
+def test_ngram_join_is_exact_in_buckets_of_every_size(spark, monkeypatch, paired, cell):
+    monkeypatch.setattr(ngram_join, "PAIRED_ROWS", paired)
+    monkeypatch.setattr(ngram_join, "CELL_ROWS", cell)
+    monkeypatch.setattr(ngram_join, "PAIR_BYTES", 10**6)
+    # Without stars the cells alone must find all links.
+    monkeypatch.setattr(ngram_join, "_near_by_sketch", lambda limit: lambda batches: (b.select(ngram_join.PAIR).slice(0, 0) for b in batches))
+    texts = _chained(120)
+    sets = []
+    for text in texts:
+        w = text.split()
+        sets.append({tuple(w[k : k + 3]) for k in range(len(w) - 2)})
+    group = list(range(len(sets)))
+    linked = [(a, b) for a in range(len(sets)) for b in range(a) if 10 * len(sets[a] & sets[b]) >= 9 * len(sets[a] | sets[b])]
+    for _ in range(len(sets)):
+        before = list(group)
+        for a, b in linked:
+            group[a] = group[b] = min(group[a], group[b])
+        if group == before:
+            break
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ngram_join.near_groups(docs, words=3, num=90, den=100).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(group))
+    assert 1 < len(set(group)) < len(texts)
+
+
+def test_joins_connect_what_links_connect_and_no_more():
+    pick = np.random.default_rng(4)
+    limit = ngram_join.Threshold(80, 100)
+    for _ in range(30):
+        base = pick.choice(400, 60, replace=False)
+        sets = [np.unique(np.append(pick.choice(base, 55, replace=False), pick.choice(400, 4))).astype(np.uint64) for _ in range(40)]
+        labels = pick.integers(0, 30, 40)
+
+        def groups(links, labels=labels):
+            group = labels.copy()
+            for a, b in [*links] * 40:
+                group[group == max(group[a], group[b])] = min(group[a], group[b])
+            return group.tolist()
+
+        every = []
+        for a in range(40):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                    every.append((a, b))
+        found = ngram_join.joins(sets, labels, limit)
+        assert groups(found) == groups(every)
+        assert {(max(p), min(p)) for p in found} <= set(every)
+        assert len(found) < len(set(labels.tolist()))
+
+
 def test_deletion_neighbours_hold_what_whole_segments_miss():
     pick = np.random.default_rng(1)
     limit = ngram_join.Threshold(90, 100)
