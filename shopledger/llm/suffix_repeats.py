@@ -16,6 +16,12 @@ place too. Two steps find all of them.
    drop out, and the expansion ends at the depth where the seed would leave a
    window of ``length`` bytes. All seeds of a part are expanded together.
 
+A seed with more surroundings than one task should hold is split by depth. Windows
+that start lo to hi bytes before the seed all hold the lo bytes before it and the
+``length`` - hi bytes from it on, so only contexts that agree on these can share one:
+they make a part. A part that is still too large has its depths halved; at one depth
+its members share the whole window, and nothing is left to compare.
+
 Texts are known by a 64-bit hash of the text, so copies are one text.
 """
 
@@ -27,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.llm.batches import chunks, longs, texts_of
@@ -43,6 +49,10 @@ _PLACE = (1 << 28) - 1
 PIECE_BYTES = 1 << 27
 # Contexts expanded at once by one task.
 EXPANDED_AT_ONCE = 60_000
+# Rows of one key from which it is hot, and the most keys that can be hot: beyond
+# so many, it takes one row in MOST_HOT of all.
+HOT_ROWS = 60_000
+MOST_HOT = 100_000
 
 
 def seeds(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
@@ -230,22 +240,26 @@ def _contexts(length: int):
 
 
 def _expansion(length: int):
-    """Rows come sorted by seed; whole seeds are expanded together."""
+    """Rows come sorted by part; whole parts are expanded together."""
 
     def runs(table: pa.Table) -> pa.RecordBatch:
         reach = length - SEED
-        gram = table.column("gram").to_numpy()
+        part = table.column("part").to_numpy()
         at = table.column("before").to_numpy()
-        before = np.zeros((len(gram), reach), dtype=np.uint8)
-        after = np.zeros((len(gram), length), dtype=np.uint8)
+        before = np.zeros((len(part), reach), dtype=np.uint8)
+        after = np.zeros((len(part), length), dtype=np.uint8)
         for i, (b, text) in enumerate(zip(at.tolist(), table.column("bytes").to_pylist(), strict=True)):
             row = np.frombuffer(text, dtype=np.uint8)
             before[i, :b] = row[:b][::-1] + 1
             after[i, : len(row) - b] = row[b:] + 1
-        group = np.cumsum(np.r_[False, gram[1:] != gram[:-1]])
+        group = np.cumsum(np.r_[False, part[1:] != part[:-1]])
         spans = _runs(expanded(group, before, after, length), length)
         return pa.RecordBatch.from_arrays(
-            [pa.array(gram), table.column("around").combine_chunks(), pa.array(spans, type=pa.list_(pa.int32()))],
+            [
+                table.column("gram").combine_chunks(),
+                table.column("around").combine_chunks(),
+                pa.array(spans, type=pa.list_(pa.int32())),
+            ],
             ["gram", "around", "spans"],
         )
 
@@ -255,8 +269,8 @@ def _expansion(length: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram = batch.column("gram").to_numpy()
-            other = np.flatnonzero(gram != gram[-1])
+            part = batch.column("part").to_numpy()
+            other = np.flatnonzero(part != part[-1])
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
                 held.append(batch.slice(0, cut))
@@ -315,6 +329,49 @@ def _results(length: int):
     return run
 
 
+def _least(rows: DataFrame) -> int:
+    """Rows above which a key of a written table is hot."""
+    return max(HOT_ROWS, rows.count() // MOST_HOT)
+
+
+def _matched(rows: DataFrame, keys: DataFrame, by: list[str], least: int) -> DataFrame:
+    """``rows`` joined with ``keys``, which has one row per key with its count in
+    ``rows``. Rows of hot keys, fewer than MOST_HOT by their counts, stay where they are."""
+    hot = keys.where(F.col("rows") > least)
+    there = rows.join(F.broadcast(hot), by)
+    sent = rows.join(F.broadcast(hot.select(*by)), by, "left_anti").join(keys.where(F.col("rows") <= least), by)
+    return there.unionByName(sent)
+
+
+CONTEXT = ["gram", "around", "before", "bytes"]
+
+
+def _parted(contexts: DataFrame, length: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """The contexts of hot seeds by parts to expand, and the spans of the contexts
+    that share a whole window with more others than a task should hold."""
+    parts, spans = [], []
+    left = contexts.select(*CONTEXT, F.lit(0).alias("lo"), F.lit(length - SEED).alias("hi"))
+    while not left.isEmpty():
+        middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+        lower = F.struct(F.col("lo").alias("lo"), middle.alias("hi"))
+        upper = F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi"))
+        agreed = F.expr(f"substring(bytes, before - lo + 1, lo + {length} - hi)")
+        halves = written(
+            left.select(*CONTEXT, F.explode(F.array(lower, upper)).alias("depths"))
+            .select(*CONTEXT, "depths.lo", "depths.hi")
+            .where(f"before >= lo and length(bytes) - before >= {length} - hi")
+            .withColumn("part", F.xxhash64("gram", "lo", "hi", agreed)),
+            "repeat-parts",
+        )
+        rows = halves.groupBy("part").agg(F.count("*").alias("rows")).where(F.col("rows") > _least(halves))
+        judged = halves.join(F.broadcast(rows), "part", "left")
+        parts.append(judged.where("rows is null").select(*CONTEXT, "part"))
+        share = F.array(-F.col("lo"), F.lit(length) - F.col("lo")).alias("spans")
+        spans.append(judged.where("rows is not null and lo = hi").select("gram", "around", share))
+        left = judged.where("rows is not null and lo < hi")
+    return parts, spans
+
+
 def repeated_ranges(docs: DataFrame, *, length: int) -> DataFrame:
     """For each distinct text of ``docs`` what of it repeats: ``key`` (the xxhash64
     of the text), ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and
@@ -325,52 +382,60 @@ def repeated_ranges(docs: DataFrame, *, length: int) -> DataFrame:
     """
     keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
     kinds = "gram long, around long, key long, place long, before short, after short"
-    found = keyed.mapInArrow(_seed_rows(length), kinds)
-    seed = Window.partitionBy("gram")
-    same = Window.partitionBy("gram", "around")
-    order = same.orderBy("key", "place")
-    # Occurrences of seeds that recur; one of each surroundings is the sample.
-    hits = written(
-        found.select(
-            "*",
-            F.row_number().over(order).alias("nth"),
-            F.count("*").over(same).alias("equal"),
-            F.min("around").over(seed).alias("lo"),
-            F.max("around").over(seed).alias("hi"),
-        )
-        .where((F.col("equal") > 1) | (F.col("lo") != F.col("hi")))
-        .select(
-            "gram",
-            "around",
-            "key",
-            "place",
-            "before",
-            "after",
-            (F.col("equal") > 1).alias("whole"),
-            ((F.col("equal") == 1) | (F.col("nth") == 1)).alias("first"),
-            (F.col("lo") != F.col("hi")).alias("mixed"),
-        ),
-        "repeat-hits",
+    found = written(keyed.mapInArrow(_seed_rows(length), kinds), "repeat-seeds")
+    least = _least(found)
+    # Seeds that recur, with whether their surroundings differ.
+    grams = written(
+        found.groupBy("gram")
+        .agg(F.count("*").alias("rows"), F.min("around").alias("lo"), F.max("around").alias("hi"))
+        .where("rows > 1")
+        .select("gram", "rows", (F.col("lo") != F.col("hi")).alias("mixed")),
+        "repeat-grams",
+    )
+    hits = written(_matched(found, grams, ["gram"], least).drop("rows"), "repeat-hits")
+    # One row per surroundings of a seed, with an occurrence as their sample.
+    samples = written(
+        hits.groupBy("gram", "around", "mixed")
+        .agg(F.count("*").alias("rows"), F.min(F.struct("key", "place", "before", "after")).alias("sample"))
+        .select("gram", "around", "mixed", "rows", "sample.*"),
+        "repeat-samples",
     )
     copies = keyed.groupBy("key").agg(F.count("*").alias("copies"))
     bodies = keyed.mapInArrow(_packed(), "key long, body binary").repartition("key")
-    wanted = (
-        hits.where("mixed and first")
-        .groupBy("key")
-        .agg(F.collect_list(F.struct("gram", "around", "place", "before", "after")).alias("wanted"))
-    )
-    contexts = bodies.join(wanted, "key").mapInArrow(
-        _contexts(length), "gram long, around long, before short, bytes binary"
+
+    def contexts(rows: DataFrame) -> DataFrame:
+        wanted = rows.groupBy("key").agg(
+            F.collect_list(F.struct("gram", "around", "place", "before", "after")).alias("wanted")
+        )
+        return bodies.join(wanted, "key").mapInArrow(
+            _contexts(length), "gram long, around long, before short, bytes binary"
+        )
+
+    mixed = samples.where("mixed")
+    hot = written(
+        mixed.groupBy("gram").agg(F.count("*").alias("rows")).where(F.col("rows") > least).select("gram"), "repeat-hot"
     )
-    spans = written(
-        contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(
-            _expansion(length), "gram long, around long, spans array<int>"
-        ).where(F.size("spans") > 0),
-        "repeat-spans",
+    parts, spans = [], []
+    if not hot.isEmpty():
+        parts, spans = _parted(contexts(mixed.join(F.broadcast(hot), "gram", "left_semi")), length)
+        mixed = mixed.join(F.broadcast(hot), "gram", "left_anti")
+    expanding = contexts(mixed).withColumn("part", F.col("gram"))
+    for more in parts:
+        expanding = expanding.unionByName(more)
+    shared = (
+        expanding.repartition("part")
+        .sortWithinPartitions("part")
+        .mapInArrow(_expansion(length), "gram long, around long, spans array<int>")
+        .where(F.size("spans") > 0)
     )
+    for more in spans:
+        shared = shared.unionByName(more)
+    shared = written(shared, "repeat-spans")
     place = F.col("place")
-    whole = hits.where("whole").select("key", F.array(place - F.col("before"), place + F.col("after")).alias("spans"))
-    part = hits.where("mixed and not whole").join(spans, ["gram", "around"]).select(
+    whole = _matched(hits, samples.where("rows > 1").select("gram", "around", "rows"), ["gram", "around"], least).select(
+        "key", F.array(place - F.col("before"), place + F.col("after")).alias("spans")
+    )
+    part = samples.where("mixed and rows = 1").join(shared, ["gram", "around"]).select(
         "key", F.transform("spans", lambda x: x + place).alias("spans")
     )
     covered = whole.unionByName(part).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
@@ -382,12 +447,19 @@ def repeated_ranges(docs: DataFrame, *, length: int) -> DataFrame:
     return written(result.dropDuplicates(["key"]), "repeat-results")
 
 
-def _cut():
+def _unused(docs: DataFrame, name: str) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _cut(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index("text")
             out = []
-            for text, ranges in zip(batch.column(at).to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            for text, ranges in zip(batch.column(at).to_pylist(), batch.column(name).to_pylist(), strict=True):
                 if ranges:
                     raw, kept, last = text.encode(), [], 0
                     for a, b in zip(ranges[::2], ranges[1::2], strict=True):
@@ -397,19 +469,20 @@ def _cut():
                     text = b"".join([*kept, raw[last:]]).decode("utf-8", "ignore")
                 out.append(text)
             columns = [pa.array(out, type=pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).drop_columns(["ranges"])
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names).drop_columns([name])
 
     return run
 
 
 def without_repeats(docs: DataFrame, *, length: int) -> DataFrame:
-    """``docs`` with the repeated bytes cut out of ``text``; other columns stay. A
-    null text stays null. A character of which a byte goes, goes."""
+    """``docs`` with the repeated bytes cut out of ``text``; other columns stay,
+    whatever their names. A null text stays null. A character of which a byte goes, goes."""
+    key, cut = _unused(docs, "key"), _unused(docs, "ranges")
     named = F.xxhash64(F.coalesce("text", F.lit("")))
-    ranges = repeated_ranges(docs, length=length).where("n_removed > 0").select(F.col("key").alias("_key"), "ranges")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    rows = docs.withColumn("_key", named).join(ranges, "_key", "left").drop("_key")
-    return rows.mapInArrow(_cut(), kinds)
+    ranges = repeated_ranges(docs, length=length).where("n_removed > 0")
+    ranges = ranges.select(F.col("key").alias(key), F.col("ranges").alias(cut))
+    rows = docs.withColumn(key, named).join(ranges, key, "left").drop(key)
+    return rows.mapInArrow(_cut(cut), docs.schema)
 
 
 def removal_report(docs: DataFrame, *, length: int) -> DataFrame:

@@ -154,13 +154,22 @@ def test_deletion_neighbours_hold_what_whole_segments_miss():
         assert band.segments == 1
 
 
-def test_repeated_strings_go_and_nothing_else(spark):
+@pytest.mark.parametrize("hot", [suffix_repeats.HOT_ROWS, 2])
+def test_repeated_strings_go_and_nothing_else(spark, monkeypatch, hot):
+    monkeypatch.setattr(suffix_repeats, "HOT_ROWS", hot)
     pick = random.Random(1)
     base = "".join(pick.choice("abcdé ") for _ in range(900))
+
+    def around(passage, before, after):
+        return "".join(pick.choice("xyz") for _ in range(before)) + passage + "".join(pick.choice("uvw") for _ in range(after))
+
     texts = [
         "a" * 500, "a" * 199, "a" * 200, base, base[100:450], "x" * 50 + base[200:500] + "y" + base[300:520], None, "",
         base[:199], base[700:] + base[:300], ("abc" * 60 + "q") * 5, "z" + base[500:699], "é" * 150, "p" * 10 + "é" * 120,
     ]
+    # A passage in most texts, each with other surroundings, some cut by one of its ends.
+    texts += [around(base[300:560], pick.randrange(200), pick.randrange(200)) for _ in range(20)]
+    texts += [around(base[300 + k : 560 - 2 * k], 150, 150) for k in range(0, 30, 3)]
     docs = _docs(spark, texts)
     rows = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.collect()]
     starts = collections.Counter(t[i : i + 200] for _, t in rows for i in range(len(t) - 199))
@@ -175,8 +184,10 @@ def test_repeated_strings_go_and_nothing_else(spark):
         want.append((name, len(t), sum(gone), runs, hashlib.sha256(stays).hexdigest()))
     got = suffix_repeats.removal_report(docs, length=200).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    docs = docs.withColumnsRenamed({"n": "ranges", "print": "key"})
     cut = suffix_repeats.without_repeats(docs, length=200)
     assert cut.columns == docs.columns and cut.count() == docs.count()
+    assert {(r["ranges"], r["key"]) for r in cut.collect()} == {("n", "p")}
     assert suffix_repeats.removal_report(_empty(spark), length=200).count() == 0
 
 
