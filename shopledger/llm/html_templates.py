@@ -1,9 +1,9 @@
 """Main text of web pages, with the site's own template removed.
 
-Elements that are never article text go by tag and by the words of their class, id
-or role. What a site repeats inside its pages goes by counting: every element
-subtree that could be a template is hashed, and Spark counts per host in how many
-pages with otherwise different text it occurs. Subtrees that recur are cut out.
+Every element subtree that could be a template is hashed, whatever its names, and
+Spark counts per host in how many pages with another article it occurs. Subtrees that
+recur are cut out. What counting cannot reach, on hosts of few pages or because it
+differs from page to page, goes by tag and by the words of class, id or role.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A subtree is a template of its host from this many pages on, and this share of them.
+# A subtree is a template of its host from this many different articles on, however
+# many pages the host has, so more pages never bring a template back.
 LEAST_PAGES = 5
-LEAST_SHARE = 0.01
 # Pages of one host that a task takes together, and the most hosts that are split;
 # beyond so many, a part holds one page in MOST_SPLIT_HOSTS of all.
 PAGES_AT_ONCE = 500
@@ -69,8 +69,8 @@ class _Open:
 
 @dataclass
 class Page:
-    """Blocks of text with the region and the numbers of the candidate elements
-    they lie in, and the hash of each candidate's subtree."""
+    """Blocks of text with their region, empty if they go by name, and the numbers of
+    the candidate elements they lie in; and the hash of each candidate's subtree."""
 
     blocks: list[tuple[str, str, tuple[int, ...]]]
     hashes: dict[int, int]
@@ -93,8 +93,8 @@ def _marks(attrs: str) -> set[str]:
 
 
 def parse(source: str | None) -> Page:
-    """The blocks of a page outside elements that go by name. Inline elements do
-    not count; a paragraph ends where a block begins; stray end tags are skipped."""
+    """The blocks of a page. Inline elements do not count; a paragraph ends where a
+    block begins; stray end tags are skipped."""
     source = source or ""
     stack: list[_Open] = [_Open("", 0, False, False)]
     blocks: list[tuple[str, str, tuple[int, ...]]] = []
@@ -109,10 +109,11 @@ def parse(source: str | None) -> Page:
             line.clear()
             if text:
                 stack[-1].parts.append(text)
-                if not any(e.drops for e in stack):
-                    tags = {e.tag for e in stack}
-                    region = "article" if "article" in tags else "main" if "main" in tags else "page"
-                    blocks.append((text, region, tuple(e.number for e in stack if e.candidate)))
+                tags = {e.tag for e in stack}
+                region = "article" if "article" in tags else "main" if "main" in tags else "page"
+                if any(e.drops for e in stack):
+                    region = ""
+                blocks.append((text, region, tuple(e.number for e in stack if e.candidate)))
 
     def close() -> None:
         flush()
@@ -182,29 +183,30 @@ def parse(source: str | None) -> Page:
     return Page(blocks, hashes)
 
 
-def _chosen(page: Page) -> list[tuple[str, str, tuple[int, ...]]]:
-    """The blocks of the article; without one, of the main element, or of the page."""
-    for region in ("article", "main"):
-        found = [b for b in page.blocks if b[1] == region]
-        if found:
-            return found
-    return page.blocks
+def _region(page: Page) -> str:
+    """Where the text is: the article; without one, the main element, or the page."""
+    found = {region for _, region, _ in page.blocks}
+    return "article" if "article" in found else "main" if "main" in found else "page"
 
 
 def main_text(page: Page, templates: set[int]) -> str:
+    chosen = _region(page)
     return "\n\n".join(
-        text for text, _, inside in _chosen(page) if not any(page.hashes[n] in templates for n in inside)
+        text
+        for text, region, inside in page.blocks
+        if not any(page.hashes[n] in templates for n in inside) and region == chosen
     )
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page its candidate subtrees that hold chosen text, with a hash of the
-    chosen text outside of each."""
+    """Of each page its candidate subtrees that hold text, with a hash of the
+    article's text outside of each."""
     for batch in batches:
         hosts, keys, rests = [], [], []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = parse(source)
-            blocks = [(_hash(text), inside) for text, _, inside in _chosen(page)]
+            chosen = _region(page)
+            blocks = [(_hash(text) if region == chosen else 0, inside) for text, region, inside in page.blocks]
             total, within = sum(h for h, _ in blocks), {}
             for h, inside in blocks:
                 for n in inside:
@@ -224,19 +226,13 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def site_templates(pages: DataFrame) -> DataFrame:
-    """(host, subtree) of the subtrees that recur in many pages of a host whose other
-    text differs, so copies of an article are no template."""
+    """(host, subtree) of the subtrees that recur in pages of a host whose articles
+    differ outside of them, so copies of an article are no template."""
     hosted = pages.select(_host().alias("host"), "html").where("host is not null")
-    sizes = hosted.groupBy("host").agg(F.count("*").alias("pages"))
     found = hosted.mapInArrow(_subtrees, "host string, subtree long, rest long")
     # First one row per page text, so that a subtree of a large host is counted from parts.
     counted = found.groupBy("host", "subtree", "rest").count().groupBy("host", "subtree").agg(F.count("*").alias("texts"))
-    return (
-        counted.where(F.col("texts") >= LEAST_PAGES)
-        .join(sizes, "host")
-        .where(F.col("texts") >= LEAST_SHARE * F.col("pages"))
-        .select("host", "subtree")
-    )
+    return counted.where(F.col("texts") >= LEAST_PAGES).select("host", "subtree")
 
 
 def _host():

@@ -282,6 +282,32 @@ def test_pages_lose_furniture_and_site_templates(spark):
     assert html_templates.extracted(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_templates_are_counted_whatever_their_names(spark):
+    def page(i, article, extra=""):
+        return (i, f"http://big.example.org/{i}", f'<body><nav class="menu">all pages</nav><div class="x1">home about</div>{extra}<div><p>{article}</p></div></body>')
+
+    # On a large host a box in five pages with other articles goes; one in copies of an article, or in four pages, stays.
+    rows = [page(i, f"text {i}") for i in range(700)]
+    rows += [page(1000 + i, f"more {i}", '<section class="q">join now</section>') for i in range(5)]
+    rows += [page(2000 + i, "the same", "<section>own words</section>") for i in range(9)]
+    rows += [page(3000 + i, f"other {i}", "<section>in four</section>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    subtrees: dict[int, set[str]] = collections.defaultdict(set)
+    for _, _, source in rows:
+        found = html_templates.parse(source)
+        article = [text for text, region, _ in found.blocks if region]
+        for number, value in found.hashes.items():
+            within = [text for text, region, inside in found.blocks if region and number in inside]
+            if any(number in inside for _, _, inside in found.blocks):
+                subtrees[value].add(repr([t for t in article if t not in within]))
+    want = {value for value, others in subtrees.items() if len(others) >= html_templates.LEAST_PAGES}
+    assert len(want) == 3
+    assert sorted(map(tuple, html_templates.site_templates(pages).collect())) == sorted(("big.example.org", v) for v in want)
+    texts = {r["page_id"]: r["text"] for r in html_templates.extracted(pages).collect()}
+    assert texts[3] == "text 3" and texts[1002] == "more 2"
+    assert texts[2001] == "own words\n\nthe same" and texts[3001] == "in four\n\nother 1"
+
+
 def test_urls_are_judged_by_the_lists_of_their_time(spark):
     def day(n):
         return datetime(2024, 1, n)
