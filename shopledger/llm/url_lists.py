@@ -63,8 +63,10 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     The longest active pattern decides, and of equals an entry of the list 'allow'
     before others: verdict 'allow' or 'block'. No active entry: 'pass'. A url
     without host or a null fetch time: 'unknown', with no active entries. Repeated
-    captures are judged alike."""
-    rows = with_patterns(captures)
+    captures are judged alike. A column of ``captures`` named like one of the four new
+    ones gives way to it; any other stays, whatever its name."""
+    carried = {c: f"input_{i}" for i, c in enumerate(captures.columns) if c.lower() not in ("url", "fetched_at")}
+    rows = with_patterns(captures.select("url", "fetched_at", *(F.col(f"`{c}`").alias(n) for c, n in carried.items())))
     asked = rows.where("patterns is not null and fetched_at is not null")
     # Captures of one url at one time are asked once.
     asked = asked.select("url", "fetched_at", "patterns").dropDuplicates(["url", "fetched_at"])
@@ -75,7 +77,11 @@ def judged(captures: DataFrame, entries: DataFrame) -> DataFrame:
     found = held.groupBy("url", "fetched_at").agg(F.count("*").alias("active"), F.max(strength).alias("best"))
     known = F.col("host").isNotNull() & F.col("fetched_at").isNotNull()
     return rows.join(found, ["url", "fetched_at"], "left").select(
-        *captures.columns,
+        *(
+            F.col(carried.get(c, c)).alias(c)
+            for c in captures.columns
+            if c.lower() not in ("host", "n_active", "verdict", "pattern")
+        ),
         "host",
         F.coalesce("active", F.lit(0)).alias("n_active"),
         F.when(~known, "unknown")

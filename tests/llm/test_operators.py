@@ -323,6 +323,12 @@ def test_urls_are_judged_by_the_lists_of_their_time(spark):
     got = {r["page_id"]: r["verdict"] for r in url_lists.judged(captures, entries).collect()}
     assert [got[i] for i in range(8)] == ["pass", "block", "pass", "allow", "block", "allow", "unknown", "unknown"]
     assert url_lists.judged(captures.limit(0), entries).count() == 0
+    clashing = captures.selectExpr("*", "'own' AS active", "page_id AS best", "'p' AS patterns", "'h' AS host", "'x' AS list", "'_' AS _path")
+    out = url_lists.judged(clashing, entries)
+    assert out.columns == ["page_id", "url", "fetched_at", "active", "best", "patterns", "list", "_path", "host", "n_active", "verdict", "pattern"]
+    rows = out.collect()
+    assert {r["page_id"]: r["verdict"] for r in rows} == got
+    assert all((r["active"], r["best"], r["patterns"], r["host"]) == ("own", r["page_id"], "p", r["host"]) and r["host"] != "h" for r in rows)
 
 
 def test_mixture_meets_its_targets(spark):
