@@ -69,6 +69,40 @@ def sized_shuffles(spark: SparkSession, *inputs: DataFrame, most: int = MOST_PAR
         spark.conf.set(name, str(before))
 
 
+# Scanned bytes behind one task of a query that sorts whole rows more than once in a
+# stage: 4 MiB of the items' files are some 230,000 rows, of which each sort and hash
+# table holds about 200 bytes.
+BYTES_PER_TASK = 4 * 1024**2
+# The most a task reads of files and of merged shuffle partitions; rows grow about
+# tenfold when decoded.
+_MOST_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 16 * 1024**2,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 * 1024**2,
+}
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def bound_tasks(spark: SparkSession, *inputs: DataFrame, most: int = MOST_PARTITIONS) -> SparkSession:
+    """Let the number of tasks grow with the largest input, so that the memory of one does
+    not. The number of partitions that shuffles begin with is never below
+    ``spark.sql.shuffle.partitions``, and AQE merges those that turn out small; sizes
+    the session has set lower stay. The settings are the session's and stay, as queries
+    run after they are made."""
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    largest = max((input_bytes(df) or 0 for df in inputs), default=0)
+    spark.conf.set(_INITIAL, str(max(before, min(-(-largest // BYTES_PER_TASK), most))))
+    for name, size in _MOST_BYTES.items():
+        if _bytes(spark.conf.get(name)) > size:
+            spark.conf.set(name, f"{size}b")
+    return spark
+
+
+def _bytes(text: str) -> int:
+    """Bytes of a Spark size such as ``128MB``, ``16m`` or ``134217728b``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([a-z]?)[a-z]*", text.strip().lower()).groups()
+    return int(number) * 1024 ** " kmgtp".index(unit if unit and unit in "kmgtp" else " ")
+
+
 def local_session(cores: str = "*", *, shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; clusters bring their own."""
     builder = (

@@ -143,6 +143,11 @@ _READERS = {
 }
 
 
+def sample_tables(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The tables that the sources are made from."""
+    return [_table(spark, folder, name) for name in _COLUMNS]
+
+
 def sample_source(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _READERS[name](spark, folder)
 

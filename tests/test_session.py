@@ -39,3 +39,31 @@ def test_a_cluster_must_name_the_shared_folder():
 
     with pytest.raises(ValueError, match="checkpoint.dir"):
         shared_folder(Cluster)
+
+
+def test_tasks_grow_in_number_and_not_in_size(spark, tmp_path):
+    path, name = str(tmp_path / "rows"), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    scan, merged = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.range(2_000_000).write.parquet(path)
+    df = spark.read.parquet(path)
+    size = session.input_bytes(df)
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.shuffle.partitions", "3")
+    fresh.conf.set(merged, "1m")
+    session.bound_tasks(fresh, df)
+    assert fresh.conf.get(name) == str(max(3, -(-size // session.BYTES_PER_TASK)))
+    assert session._bytes(fresh.conf.get(scan)) == 16 * 1024**2
+    assert fresh.conf.get(merged) == "1m"
+    fresh.conf.set("spark.sql.shuffle.partitions", "50")
+    session.bound_tasks(fresh, df)
+    assert fresh.conf.get(name) == "50"
+    assert [session._bytes(x) for x in ("7", "128MB", "16m", "1kb", "2g")] == [7, 128 * 1024**2, 16 * 1024**2, 1024, 2 * 1024**3]
+
+
+def test_a_query_bounds_its_tasks_by_its_tables(spark, tmp_path, monkeypatch):
+    from verification import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "bound_tasks", lambda spark, *inputs: seen.append(len(inputs)))
+    queries.Sample(spark, "/root/testdata/sf0.001")
+    assert seen == [6]

@@ -37,11 +37,11 @@ from shopledger.plans.warehouse import (
     sales_of_orders,
 )
 from shopledger.schemas import EVENT_FEED_SCHEMA, ITEM_FIXTURE_SCHEMA, REJECTED_RECORD, SOURCE_SCHEMAS, SOURCES
-from shopledger.session import prepare, shared_folder
+from shopledger.session import bound_tasks, prepare, shared_folder
 from shopledger.sources import lake as store
 from shopledger.sources.inputs import parsed_events, read_item_fixture
 from shopledger.sources.lake import Lake, written
-from shopledger.sources.sample import campaign_events, sample_source
+from shopledger.sources.sample import campaign_events, sample_source, sample_tables
 from verification.faults import faulty_silver
 
 SALT = "sample-salt"
@@ -95,6 +95,7 @@ class Sample:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = prepare(spark), folder
+        bound_tasks(spark, *sample_tables(spark, folder))
         self.sources = Layer(SOURCES, lambda name: sample_source(spark, folder, name))
         # Bronze after every source was extracted twice.
         self.replayed = Layer(SOURCES, lambda name: self.sources[name].unionByName(self.sources[name]))
