@@ -75,13 +75,18 @@ def changes(name: str, current: DataFrame, incoming: DataFrame) -> DataFrame:
     that is older than the current one changes nothing, whenever it arrives.
 
     The current table is only looked up by the incoming keys: with a small batch these
-    are broadcast, and the table is neither shuffled nor sorted."""
+    are broadcast, and the table is neither shuffled nor sorted. They meet by plain
+    equality, so incoming rows that an aggregate has dealt out by the key stay where they
+    are; the one row that may have no key is looked up by itself."""
     key = PRIMARY_KEYS[name]
     new = incoming.select(F.col(key).alias("_key"), _row(name).alias("_new"))
-    old = current.select(F.col(key).alias("_old_key"), _row(name).alias("was"))
-    old = old.join(new.select("_key"), F.col("_old_key").eqNullSafe(F.col("_key")), "left_semi")
+    old, old_key = current.select(_row(name).alias("was")), F.col(f"was.{key}")
+    unkeyed = old.where(old_key.isNull()).agg(F.max("was"))
+    old = old.join(new.select("_key"), old_key == F.col("_key"), "left_semi")
     now = F.greatest("was", "_new")
-    met = new.join(old, F.col("_key").eqNullSafe(F.col("_old_key")), "left")
+    met = new.join(old, F.col("_key") == old_key, "left").withColumn(
+        "was", F.when(F.col("_key").isNull(), unkeyed.scalar()).otherwise(F.col("was"))
+    )
     return met.where(~F.col("was").eqNullSafe(now)).select("was", now.alias("now"))
 
 

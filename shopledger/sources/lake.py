@@ -212,19 +212,20 @@ def read_batches(spark: SparkSession, lake: Lake, source: str, folders: Iterable
     return spark.read.schema(_bronze_schema(source)).option("basePath", root).parquet(*paths)
 
 
-def write_table(df: DataFrame, path: str, *measures: Column) -> dict:
+def write_table(df: DataFrame, path: str, *measures: Column, compression: str | None = None) -> dict:
     """Overwrite a folder; the row count and any other measures are observed
-    while writing, so the table is evaluated once."""
+    while writing, so the table is evaluated once. ``compression`` is the session's
+    unless given."""
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
-    observed.write.mode("overwrite").parquet(path)
+    observed.write.mode("overwrite").parquet(path, compression=compression)
     return seen.get
 
 
 def written(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """The tables, written to a folder and read back: each is computed once,
     however often the result is used, and its lineage ends at the files."""
-    in_parallel(spark, lambda name: write_table(tables[name], f"{folder}/{name}"), list(tables))
+    in_parallel(spark, lambda name: write_table(tables[name], f"{folder}/{name}", compression="zstd"), list(tables))
     return {
         name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
         for name, df in tables.items()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shopledger.functions import date_key, surrogate_key, utc_timestamps
 from shopledger.operators import changed_since, latest_by_key, ordered_page, upsert_by_key
-from shopledger.plans.silver import silver_table
+from shopledger.plans.silver import changes, silver_table
 from tests.data import at, source
 
 
@@ -130,3 +130,32 @@ def test_pages_cover_the_feed_once(spark):
 def test_page_bounds_are_checked(spark, offset, limit):
     with pytest.raises(ValueError):
         ordered_page(spark.range(1), ["id"], offset=offset, limit=limit)
+
+
+def test_changes_meet_without_dealing_the_incoming_rows_again(spark):
+    current = silver_table("order_items", source(spark, "order_items", [
+        ("I1", "O1", "P1", 1, Decimal("2.00"), at(1)),
+        ("I2", "O1", "P1", 1, Decimal("2.00"), at(1)),
+        ("I3", "O1", "P1", 1, Decimal("2.00"), at(5)),
+        (None, "O1", "P1", 1, Decimal("2.00"), at(1)),
+    ]), salt="s")
+    incoming = silver_table("order_items", source(spark, "order_items", [
+        ("I1", "O1", "P1", 1, Decimal("2.00"), at(1)),
+        ("I2", "O1", "P1", 7, Decimal("2.00"), at(2)),
+        ("I3", "O1", "P1", 7, Decimal("2.00"), at(2)),
+        ("I4", "O2", "P1", 1, Decimal("2.00"), at(2)),
+        (None, "O3", "P1", 1, Decimal("2.00"), at(2)),
+        (None, "O2", "P1", 1, Decimal("2.00"), at(2)),
+    ]), salt="s")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        met = changes("order_items", current, incoming)
+        rows = {r["now"]["order_item_id"]: (r["was"] and r["was"]["order_id"], r["now"]["order_id"]) for r in met.collect()}
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert rows == {"I2": ("O1", "O1"), "I4": (None, "O2"), None: ("O1", "O3")}
+    # The aggregates' own shuffles by key are the only ones of the incoming rows.
+    assert "coalesce(" not in plan
