@@ -290,11 +290,15 @@ def _whole_cells(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
 
 
 def _near_in_buckets(limit: Threshold):
-    """All pairs of a small bucket that lie in different components and are rejected
-    neither by size nor by sketch. Rows come sorted by ``sig``; a bucket has a bounded
-    number of rows, and many buckets are compared at once."""
-
-    def pairs(table: pa.Table, cell: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a bucket that lie in different components and are rejected neither by
+    size nor by sketch. Rows come sorted by ``sig``; a bucket has a bounded number of rows,
+    and many buckets are compared at once. A bucket with more such pairs than its rows'
+    ``most`` is given up and named by its ``crowded`` signature."""
+
+    def pairs(table: pa.Table, cell: np.ndarray, over: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        most_pairs = np.zeros(len(over), dtype=np.int64)
+        most_pairs[cell] = table.column("most").to_numpy()
+        sent = np.zeros(len(over), dtype=np.int64)
         n = table.column("n").to_numpy().astype(np.int64)
         label = table.column("label").to_numpy()
         width = np.zeros(len(n), dtype=np.int64)
@@ -305,7 +309,7 @@ def _near_in_buckets(limit: Threshold):
         x = np.arange(len(n))
         for step in range(1, len(n)):
             x = x[x + step < len(n)]
-            x = x[cell[x] == cell[x + step]]
+            x = x[(cell[x] == cell[x + step]) & ~over[cell[x]]]
             if not len(x):
                 return
             y = x + step
@@ -322,13 +326,16 @@ def _near_in_buckets(limit: Threshold):
                         two = folded(stacks[v][place[j[m]]], least)
                         ok = m[np.bitwise_count(one ^ two).sum(1, dtype=np.int64) <= most[m]]
                         if len(ok):
+                            sent += np.bincount(cell[i[ok]], minlength=len(over))
+                            over |= sent > most_pairs
                             yield i[ok], j[ok]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, cell in _whole_cells(batches, ["sig"]):
             node, n, prints = (table.column(c).to_numpy() for c in ("node", "n", "print"))
             both: set[tuple[int, int]] = set()
-            for x, y in pairs(table, cell):
+            over = np.zeros(cell[-1] + 1, dtype=bool)
+            for x, y in pairs(table, cell, over):
                 swap = node[x] > node[y]
                 x, y = np.where(swap, y, x), np.where(swap, x, y)
                 fresh = []
@@ -338,7 +345,11 @@ def _near_in_buckets(limit: Threshold):
                         fresh.append(k)
                 x, y = x[fresh], y[fresh]
                 columns = [n[x], prints[x], node[x], n[y], prints[y], node[y]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], PAIR)
+                none = pa.nulls(len(x), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), none], [*PAIR, "crowded"])
+            sigs = pa.array(np.unique(table.column("sig").to_numpy()[over[cell]]))
+            nothing = [pa.nulls(len(sigs), pa.int32() if c.endswith("_n") else pa.int64()) for c in PAIR]
+            yield pa.RecordBatch.from_arrays([*nothing, sigs], [*PAIR, "crowded"])
 
     return run
 
@@ -450,10 +461,12 @@ def _linked(words: int, limit: Threshold):
 PAIR = ["left_n", "left_print", "left_node", "right_n", "right_print", "right_node"]
 _PAIR_TYPES = "left_n int, left_print long, left_node long, right_n int, right_print long, right_node long"
 # Buckets up to this many rows send their pairs, which are verified once however
-# many buckets they meet in. Larger ones do so while their pairs, of PAIR_BYTES,
-# weigh no more than the shingles of their sets; else these are sent instead.
+# many buckets they meet in. Larger ones do so while all their pairs, of PAIR_BYTES,
+# weigh no more than the shingles of their sets, or while the pairs that their sketches
+# leave are no more than PAIRS_A_ROW for each row; else the shingles are sent instead.
 PAIRED_ROWS = 16
 PAIR_BYTES = 48
+PAIRS_A_ROW = 4
 # Rows, and bytes of shingles, of a larger bucket that one task takes at once. Beyond
 # that a bucket is cut into slices, and every two slices that are not joined already
 # meet in one cell.
@@ -479,15 +492,18 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, limit: Threshold) ->
     return written(together.mapInArrow(_linked(words, limit), "left_node long, right_node long"), "ngram-links")
 
 
-def _paired():
-    """Whether a bucket of ``rows`` sets with ``held`` shingles sends its pairs."""
+def _most_pairs():
+    """How many pairs a bucket of ``rows`` sets with ``held`` shingles may send. Null
+    for buckets that are too large to be compared by sketches in one task."""
     lighter = F.col("rows") * F.col("rows") * PAIR_BYTES <= F.col("held") * 16
-    return (F.col("rows") <= PAIRED_ROWS) | ((F.col("rows") <= CELL_ROWS) & lighter)
+    all_pairs = F.col("rows") * F.col("rows")
+    few = (F.col("rows") <= PAIRED_ROWS) | lighter
+    return F.when(F.col("rows") <= CELL_ROWS, F.when(few, all_pairs).otherwise(F.col("rows") * PAIRS_A_ROW))
 
 
 def _open_buckets(shared: DataFrame, ids: DataFrame, first: DataFrame) -> DataFrame:
-    """The sets of all buckets that hold several components, with whether the bucket
-    sends pairs, its slices and the slice of each set. A slice has a bounded number of rows and bytes."""
+    """The sets of all buckets that hold several components, with the most pairs that the
+    bucket may send, its slices and the slice of each set. A slice has a bounded number of rows and bytes."""
     placed = ids.join(first, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
     mixed = (
         shared.join(placed.select("n", "print", "label"), ["n", "print"])
@@ -496,7 +512,7 @@ def _open_buckets(shared: DataFrame, ids: DataFrame, first: DataFrame) -> DataFr
         .where("a <> b")
         .select(
             "sig",
-            _paired().alias("paired"),
+            _most_pairs().alias("most"),
             F.greatest(F.ceil(F.col("rows") / CELL_ROWS), F.ceil(F.col("held") * 8 / CELL_BYTES)).cast("int").alias("slices"),
         )
     )
@@ -590,13 +606,25 @@ def near_groups(docs: DataFrame, *, words: int, num: int, den: int) -> DataFrame
 
     # Then the buckets that still hold several components, by pairs or by shingles.
     buckets = written(_open_buckets(shared, ids, first), "ngram-open")
-    small = buckets.where("paired").select("sig", "n", "print", "node", "label", "sketch")
-    rest = (
-        small.repartition("sig").sortWithinPartitions("sig").mapInArrow(_near_in_buckets(limit), _PAIR_TYPES).distinct()
+    small = buckets.where("most is not null").select("sig", "n", "print", "node", "label", "sketch", "most")
+    near = written(
+        small.repartition("sig")
+        .sortWithinPartitions("sig")
+        .mapInArrow(_near_in_buckets(limit), f"{_PAIR_TYPES}, crowded long")
+        .distinct(),
+        "ngram-near",
+    )
+    links = links.unionByName(_verify(near.where("crowded is null").select(*PAIR), texts, words, limit))
+
+    # Of the others, those that hold several components still.
+    second = components(links, "left_node", "right_node")
+    crowded = near.where("crowded is not null").select(F.col("crowded").alias("sig"))
+    large = buckets.where("most is null").unionByName(buckets.join(crowded, "sig", "left_semi"))
+    large = large.drop("label").join(second, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    mixed = large.groupBy("sig").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("sig")
+    large = written(
+        large.join(mixed, "sig", "left_semi").select("sig", "n", "print", "node", "label", "slice", "slices"), "ngram-large"
     )
-    links = links.unionByName(_verify(rest, texts, words, limit))
-
-    large = buckets.where("not paired").select("sig", "n", "print", "node", "label", "slice", "slices")
     owners = written(large.select(F.col("node").alias("doc_id")).distinct(), "ngram-owners")
     carried = written(
         texts.join(owners, "doc_id", "left_semi")

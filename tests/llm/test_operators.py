@@ -83,6 +83,31 @@ def _chained(count: int) -> list[str]:
     return texts
 
 
+@pytest.mark.parametrize(("few", "crowded"), [(4, False), (0, True)])
+def test_ngram_join_sends_shingles_of_crowded_buckets_only(spark, monkeypatch, few, crowded):
+    """A large bucket of sets that share a passage, of which few are alike, sends the pairs that
+    its sketches leave; one with more than its rows may send is searched by shingles."""
+    monkeypatch.setattr(ngram_join, "PAIRS_A_ROW", few)
+    monkeypatch.setattr(ngram_join, "PAIRED_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "PAIR_BYTES", 10**6)
+    monkeypatch.setattr(ngram_join, "_near_by_sketch", lambda limit: lambda batches: (b.select(ngram_join.PAIR).slice(0, 0) for b in batches))
+    cells, join = [], ngram_join._join_cells
+
+    def joined(sent, *args):
+        cells.append(sent.count())
+        return join(sent, *args)
+
+    monkeypatch.setattr(ngram_join, "_join_cells", joined)
+    pick = random.Random(5)
+    passage = [f"p{k}" for k in range(60)]
+    texts = [" ".join([*passage, *(f"w{pick.randint(0, 10**6)}" for _ in range(40))]) for _ in range(60)]
+    texts += [f"{t} again" for t in texts[:6]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ngram_join.near_groups(docs, words=3, num=90, den=100).collect()
+    assert {r.doc_id: r.component_id for r in got} == {k: k if k < 60 else k - 60 for k in range(66)}
+    assert (cells[0] > 0) is crowded
+
+
 @pytest.mark.parametrize(("paired", "cell"), [(16, 2048), (1, 3)])
 def test_ngram_join_is_exact_in_buckets_of_every_size(spark, monkeypatch, paired, cell):
     monkeypatch.setattr(ngram_join, "PAIRED_ROWS", paired)
