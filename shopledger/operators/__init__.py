@@ -1,4 +1,4 @@
-from shopledger.operators.fingerprint import fingerprint, same_rows
+from shopledger.operators.fingerprint import checksums, fingerprint, same_rows
 from shopledger.operators.incremental import changed_since, extract_manifest, extract_summary
 from shopledger.operators.latest import latest_by_key, upsert_by_key
 from shopledger.operators.paging import ordered_page, seek_page
@@ -7,6 +7,7 @@ from shopledger.operators.skew import SkewPolicy, hot_keys, input_bytes, skew_jo
 __all__ = [
     "SkewPolicy",
     "changed_since",
+    "checksums",
     "extract_manifest",
     "extract_summary",
     "fingerprint",

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shopledger.functions import utc_timestamps
-from shopledger.operators import same_rows
+from shopledger.operators import checksums, same_rows
 from shopledger.schemas import (
     EVENT_SOURCE,
     FACT_TABLES,
@@ -48,6 +48,7 @@ from shopledger.schemas import (
 from shopledger.sources.parts import BUCKET, PartTable, Version, bucket_of
 
 PARALLEL_WRITES = 6
+_PRINT = "_print"
 
 
 class PublishError(RuntimeError):
@@ -240,17 +241,25 @@ def stage_silver(
     *,
     batches: Iterable[tuple[str, str]] = (),
     measures: Callable[[str], Mapping[str, Column]] = lambda table: {},
+    prints: dict[str, dict] | None = None,
+    gathered: bool = False,
 ) -> Version:
     """Write all Silver tables whole to a slot, and the version they make. ``measures``
-    of a table are aggregates observed while it is written."""
+    of a table are aggregates observed while it is written; so is its fingerprint, for
+    the caller that gives ``prints`` to take it. ``gathered`` tables come from files of one
+    of these buckets each and are not shuffled."""
 
     def write(name: str) -> dict:
-        wanted = measures(name)
+        wanted = [c.alias(m) for m, c in measures(name).items()]
+        if prints is not None:
+            wanted.append(F.struct(*checksums(silver[name].columns)).alias(_PRINT))
         cut = silver[name].withColumn(BUCKET, bucket_of(PRIMARY_KEYS[name], lake.buckets))
-        return lake.silver(name).write(cut, slot, *(c.alias(m) for m, c in wanted.items()))
+        return lake.silver(name).write(cut, slot, *wanted, gathered=gathered)
 
     version = Version(slot, lake.buckets, batches=frozenset(batches))
     for name, seen in zip(silver, in_parallel(spark, write, list(silver))):
+        if prints is not None:
+            prints[name] = seen.pop(_PRINT).asDict()
         version = version.with_parts(name, (), lake.silver(name).written(spark, slot)).with_measures(name, seen)
     version.save(spark, lake.version("silver", slot))
     return version
@@ -417,8 +426,9 @@ def copy_silver(spark: SparkSession, lake: Lake, slot: str, target: Lake, target
     """Copy a Silver version whole into a slot of another lake. Both are read again and
     must hold the same rows."""
     silver_file_plan(spark, lake, slot)
-    tables = read_silver(spark, lake, slot)
-    copied = stage_silver(spark, tables, target, target_slot)
+    version = load_version(spark, lake, "silver", slot)
+    tables = read_silver(spark, lake, version)
+    copied = stage_silver(spark, tables, target, target_slot, gathered=version.buckets == target.buckets)
     there = read_silver(spark, target, copied)
 
     def compare(name: str) -> dict:

@@ -55,18 +55,19 @@ class PartTable:
         whole = f"{self.root}/slot={slot}"
         return whole if value is None else f"{whole}/{self.part}={value}"
 
-    def write(self, df: DataFrame, slot: str, *measures: Column) -> dict:
+    def write(self, df: DataFrame, slot: str, *measures: Column, gathered: bool = False) -> dict:
         """Write the parts in ``df``, which has the table's columns and the part's. Rows
         of a part are gathered, and a part larger than AQE's advisory size is dealt over
-        several tasks, so files are neither many nor unbounded. Row count and
-        ``measures`` are observed in the last stage, whose tasks count once each."""
+        several tasks, so files are neither many nor unbounded; with ``gathered`` they are
+        read from files of one part each, and stay as they lie. Row count and ``measures``
+        are observed in the last stage, whose tasks count once each."""
         seen = Observation()
         (
-            df.hint("rebalance", F.col(self.part))
+            (df if gathered else df.hint("rebalance", F.col(self.part)))
             .observe(seen, F.count(F.lit(1)).alias("rows"), *measures)
             .write.mode("overwrite")
             .partitionBy(self.part)
-            .parquet(self.folder(slot))
+            .parquet(self.folder(slot), compression="zstd")
         )
         return seen.get
 
