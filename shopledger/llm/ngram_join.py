@@ -10,9 +10,9 @@ segments get deletion neighbourhoods is chosen per band by cost.
 Documents with equal shingle sets are one set from the start. Sets that share a
 signature are first compared with the smallest of the bucket, and links found so
 are closed to components; only then are buckets that still hold several components
-searched: the pairs of small ones, thinned out by parity sketches that never reject a
-link, are verified on the whole texts; the rows of larger ones carry their shingles
-and send only links that join components, fewer than they have rows. So a bucket of
+searched: their pairs, thinned out by parity sketches that never reject a link, are
+verified on the whole texts; the rows of buckets with too many sets or pairs left carry
+their shingles and send only links that join components, fewer than they have rows. So a bucket of
 many near copies sends about its size, and no group is lost.
 """
 
