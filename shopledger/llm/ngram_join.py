@@ -293,7 +293,7 @@ def _near_in_buckets(limit: Threshold):
     """All pairs of a bucket that lie in different components and are rejected neither by
     size nor by sketch. Rows come sorted by ``sig``; a bucket has a bounded number of rows,
     and many buckets are compared at once. A bucket with more such pairs than its rows'
-    ``most`` is given up and named by its ``crowded`` signature."""
+    ``most`` is given up: it sends none of them, only its ``crowded`` signature."""
 
     def pairs(table: pa.Table, cell: np.ndarray, over: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         most_pairs = np.zeros(len(over), dtype=np.int64)
@@ -333,19 +333,19 @@ def _near_in_buckets(limit: Threshold):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, cell in _whole_cells(batches, ["sig"]):
             node, n, prints = (table.column(c).to_numpy() for c in ("node", "n", "print"))
-            both: set[tuple[int, int]] = set()
             over = np.zeros(cell[-1] + 1, dtype=bool)
-            for x, y in pairs(table, cell, over):
-                swap = node[x] > node[y]
-                x, y = np.where(swap, y, x), np.where(swap, x, y)
-                fresh = []
-                for k, p in enumerate(zip(node[x].tolist(), node[y].tolist(), strict=True)):
-                    if p not in both:
-                        both.add(p)
-                        fresh.append(k)
-                x, y = x[fresh], y[fresh]
-                columns = [n[x], prints[x], node[x], n[y], prints[y], node[y]]
-                none = pa.nulls(len(x), pa.int64())
+            # Held until it is known which buckets are given up: at most ``most`` pairs of
+            # each and those of its last step.
+            held = [(np.where(node[x] > node[y], y, x), np.where(node[x] > node[y], x, y)) for x, y in pairs(table, cell, over)]
+            x, y = (np.concatenate([np.zeros(0, dtype=np.int64), *side]) for side in (zip(*held, strict=True) if held else ([], [])))
+            sent = ~over[cell[x]]
+            x, y = x[sent], y[sent]
+            # Once for all buckets in which a pair meets.
+            _, first = np.unique(np.stack((node[x], node[y]), 1), axis=0, return_index=True)
+            for a in range(0, len(first), CHUNK_ROWS):
+                i, j = x[first[a : a + CHUNK_ROWS]], y[first[a : a + CHUNK_ROWS]]
+                columns = [n[i], prints[i], node[i], n[j], prints[j], node[j]]
+                none = pa.nulls(len(i), pa.int64())
                 yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), none], [*PAIR, "crowded"])
             sigs = pa.array(np.unique(table.column("sig").to_numpy()[over[cell]]))
             nothing = [pa.nulls(len(sigs), pa.int32() if c.endswith("_n") else pa.int64()) for c in PAIR]
@@ -461,9 +461,10 @@ def _linked(words: int, limit: Threshold):
 PAIR = ["left_n", "left_print", "left_node", "right_n", "right_print", "right_node"]
 _PAIR_TYPES = "left_n int, left_print long, left_node long, right_n int, right_print long, right_node long"
 # Buckets up to this many rows send their pairs, which are verified once however
-# many buckets they meet in. Larger ones do so while all their pairs, of PAIR_BYTES,
-# weigh no more than the shingles of their sets, or while the pairs that their sketches
-# leave are no more than PAIRS_A_ROW for each row; else the shingles are sent instead.
+# many buckets they meet in. Larger ones do so while the pairs that their sketches leave
+# are no more than PAIRS_A_ROW for each row, or half of PAIRED_ROWS where all their pairs,
+# of PAIR_BYTES, weigh no more than the shingles of their sets; else the shingles are sent
+# instead of pairs. So the pairs grow with the rows, not with the square of a group.
 PAIRED_ROWS = 16
 PAIR_BYTES = 48
 PAIRS_A_ROW = 4
@@ -493,12 +494,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, words: int, limit: Threshold) ->
 
 
 def _most_pairs():
-    """How many pairs a bucket of ``rows`` sets with ``held`` shingles may send. Null
-    for buckets that are too large to be compared by sketches in one task."""
+    """How many pairs a bucket of ``rows`` sets with ``held`` shingles may send: no more for
+    each row than a bucket of PAIRED_ROWS rows has, however large it is. Null for buckets
+    that are too large to be compared by sketches in one task."""
     lighter = F.col("rows") * F.col("rows") * PAIR_BYTES <= F.col("held") * 16
-    all_pairs = F.col("rows") * F.col("rows")
     few = (F.col("rows") <= PAIRED_ROWS) | lighter
-    return F.when(F.col("rows") <= CELL_ROWS, F.when(few, all_pairs).otherwise(F.col("rows") * PAIRS_A_ROW))
+    most = F.when(few, F.col("rows") * PAIRED_ROWS / 2).otherwise(F.col("rows") * PAIRS_A_ROW)
+    return F.when(F.col("rows") <= CELL_ROWS, most.cast("long"))
 
 
 def _open_buckets(shared: DataFrame, ids: DataFrame, first: DataFrame) -> DataFrame:

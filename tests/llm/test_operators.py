@@ -11,7 +11,9 @@ from datetime import datetime
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shopledger.llm import (
@@ -108,6 +110,28 @@ def test_ngram_join_sends_shingles_of_crowded_buckets_only(spark, monkeypatch, f
     assert (cells[0] > 0) is crowded
 
 
+def test_ngram_join_sends_no_pairs_of_crowded_buckets(spark):
+    """Pairs grow with the rows of a bucket, not with their square: a bucket with too many
+    sends its signature alone, and long texts get no more pairs a row than others."""
+    most = spark.range(1, 6).select((F.col("id") * 400).alias("rows"), (F.col("id") * 400 * 20_000).alias("held"))
+    most = most.select("rows", ngram_join._most_pairs().alias("most")).collect()
+    assert [r["most"] for r in most] == [r["rows"] * ngram_join.PAIRED_ROWS // 2 for r in most]
+
+    def bucket(sig, rows, most):
+        sketch = [bytes(16)] * rows
+        return [[sig] * rows, [100] * rows, range(1, rows + 1), range(rows), range(rows), sketch, [most] * rows]
+
+    columns = [[*a, *b] for a, b in zip(bucket(1, 40, 160), bucket(2, 5, 40), strict=True)]
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], ["sig", "n", "print", "node", "label", "sketch", "most"]
+    )
+    found = pa.Table.from_batches(ngram_join._near_in_buckets(ngram_join.Threshold(80, 100))(iter([batch]))).to_pylist()
+    assert [r["crowded"] for r in found if r["crowded"] is not None] == [1]
+    pairs = [(r["left_node"], r["right_node"]) for r in found if r["crowded"] is None]
+    assert sorted(pairs) == [(a, b) for a in range(5) for b in range(a + 1, 5)]
+
+
 @pytest.mark.parametrize(("paired", "cell"), [(16, 2048), (1, 3)])
 def test_ngram_join_is_exact_in_buckets_of_every_size(spark, monkeypatch, paired, cell):
     monkeypatch.setattr(ngram_join, "PAIRED_ROWS", paired)
