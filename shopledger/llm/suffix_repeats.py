@@ -36,19 +36,24 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.batches import chunks, longs, texts_of
+from shopledger.llm.batches import chunks, longs, slices, small_batches, texts_of
 from shopledger.llm.hashing import Rolling, joined, mix
 from shopledger.llm.scratch import written
 
 _U64 = np.uint64
 # Bytes of a seed, of 200: shorter seeds are fewer but more of them recur.
 SEED = 64
-# A seed is chosen by the high 36 bits of its hash, then by place. Longer texts
-# than 2**27 bytes are read in pieces that overlap by all but one byte of a window.
+# A seed is chosen by the high 36 bits of its hash, then by place.
 _PLACE = (1 << 28) - 1
-PIECE_BYTES = 1 << 27
-# Contexts expanded at once by one task.
-EXPANDED_AT_ONCE = 60_000
+# Texts are read in pieces that overlap by all but one byte of a window, and so many
+# bytes at once: the working memory of seeds() is some hundred times this.
+PIECE_BYTES = 1 << 19
+# Contexts sent on, and expanded, at once by one task, and neighbours compared at once.
+CONTEXTS_AT_ONCE = 4_096
+EXPANDED_AT_ONCE = 15_000
+COMPARED_AT_ONCE = 4_096
+# Rows of texts and contexts in one Arrow batch.
+BATCH_ROWS = 1_000
 # Rows of one key from which it is hot, and the most keys that can be hot: beyond
 # so many, it takes one row in MOST_HOT of all.
 HOT_ROWS = 60_000
@@ -100,10 +105,14 @@ def expanded(group: np.ndarray, before: np.ndarray, after: np.ndarray, length: i
     words[:, : after.shape[1]] = after
     columns = words.view(">u8")
     order = np.lexsort((*(columns[:, i] for i in range(columns.shape[1] - 1, -1, -1)), group))
+    del words, columns
     # Common prefixes of neighbours in the suffix array of the seeds.
     ends = (after != 0).sum(1)
-    differ = after[order[1:]] != after[order[:-1]]
-    prefix = np.where(differ.any(1), differ.argmax(1), after.shape[1])
+    prefix = np.empty(max(0, n - 1), dtype=np.int64)
+    for a in range(0, n - 1, COMPARED_AT_ONCE):
+        some = order[a : a + COMPARED_AT_ONCE + 1]
+        differ = after[some[1:]] != after[some[:-1]]
+        prefix[a : a + len(differ)] = np.where(differ.any(1), differ.argmax(1), after.shape[1])
     prefix = np.minimum(prefix, np.minimum(ends[order[1:]], ends[order[:-1]]))
     prefix[group[order[1:]] != group[order[:-1]]] = 0
     # Range minima: table[k][i] is the least of 2**k entries from i.
@@ -164,7 +173,7 @@ def _seed_rows(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", PIECE_BYTES)):
             keys = batch.column("key").to_pylist()
             texts, names, bases = [], [], []
             for key, text in zip(keys, texts_of(batch.column("text")), strict=True):
@@ -175,7 +184,7 @@ def _seed_rows(length: int):
                         names.append(key)
                         bases.append(base)
             names_, bases_ = np.array(names, dtype=np.int64), np.array(bases, dtype=np.int64)
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, PIECE_BYTES):
                 gram, around, text, place, before, after = seeds(texts[a:b], length)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -198,7 +207,7 @@ def _packed():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", PIECE_BYTES)):
             keys, bodies = [], []
             for key, text in zip(batch.column("key").to_pylist(), texts_of(batch.column("text")), strict=True):
                 if key not in seen:
@@ -217,24 +226,20 @@ def _contexts(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
+        names = ["gram", "around", "before", "bytes"]
         for batch in batches:
-            rows = []
-            for body, wanted in zip(
-                batch.column("body").to_pylist(), batch.column("wanted").to_pylist(), strict=True
-            ):
-                text = unpack.decompress(body)
-                for w in wanted:
-                    p = w["place"]
-                    rows.append((w["gram"], w["around"], w["before"], text[p - w["before"] : p + w["after"]]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([r[0] for r in rows], type=pa.int64()),
-                    pa.array([r[1] for r in rows], type=pa.int64()),
-                    pa.array([r[2] for r in rows], type=pa.int16()),
-                    pa.array([r[3] for r in rows], type=pa.binary()),
-                ],
-                ["gram", "around", "before", "bytes"],
-            )
+            lists = batch.column("wanted")
+            wanted, edges = lists.values, lists.offsets.to_numpy()
+            places, befores, afters = (wanted.field(c).to_numpy() for c in ("place", "before", "after"))
+            first, cut = int(edges[0]), []
+            for body, a, b in zip(batch.column("body"), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                text = unpack.decompress(body.as_py()) if b > a else b""
+                for k in range(a, b):
+                    cut.append(text[places[k] - befores[k] : places[k] + afters[k]])
+                    if len(cut) == CONTEXTS_AT_ONCE or k + 1 == edges[-1]:
+                        sent = (wanted.field(c).slice(first, len(cut)) for c in names[:-1])
+                        yield pa.RecordBatch.from_arrays([*sent, pa.array(cut, type=pa.binary())], names)
+                        first, cut = k + 1, []
 
     return run
 
@@ -248,8 +253,8 @@ def _expansion(length: int):
         at = table.column("before").to_numpy()
         before = np.zeros((len(part), reach), dtype=np.uint8)
         after = np.zeros((len(part), length), dtype=np.uint8)
-        for i, (b, text) in enumerate(zip(at.tolist(), table.column("bytes").to_pylist(), strict=True)):
-            row = np.frombuffer(text, dtype=np.uint8)
+        for i, (b, text) in enumerate(zip(at.tolist(), table.column("bytes"), strict=True)):
+            row = np.frombuffer(text.as_buffer(), dtype=np.uint8)
             before[i, :b] = row[:b][::-1] + 1
             after[i, : len(row) - b] = row[b:] + 1
         group = np.cumsum(np.r_[False, part[1:] != part[:-1]])
@@ -380,6 +385,11 @@ def repeated_ranges(docs: DataFrame, *, length: int) -> DataFrame:
     Null text counts as empty. Texts under ``length`` bytes keep all. Rows with the
     same text are occurrences of each other. Only the column text is read.
     """
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return _repeated_ranges(docs, length)
+
+
+def _repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     keyed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
     kinds = "gram long, around long, key long, place long, before short, after short"
     found = written(keyed.mapInArrow(_seed_rows(length), kinds), "repeat-seeds")

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from datetime import datetime
 
@@ -13,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -240,6 +242,58 @@ def test_repeated_strings_go_and_nothing_else(spark, monkeypatch, hot):
     assert suffix_repeats.removal_report(_empty(spark), length=200).count() == 0
 
 
+def test_repeats_hold_a_bounded_part_of_long_texts(monkeypatch):
+    """One task's seeds of a long text, and the contexts it sends on, take memory by the
+    piece; the seeds are those of the windows whatever the pieces."""
+    pick = np.random.default_rng(2)
+    text = pick.integers(97, 123, 4_000_000, dtype=np.uint8).tobytes().decode()
+    batch = pa.RecordBatch.from_arrays([pa.array([text, None, "short"]), pa.array([1, 2, 3])], ["text", "key"])
+    tracemalloc.start()
+    found = pa.Table.from_batches(suffix_repeats._seed_rows(200)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200_000_000
+    monkeypatch.setattr(suffix_repeats, "PIECE_BYTES", len(text))
+    whole = pa.Table.from_batches(suffix_repeats._seed_rows(200)(iter([batch])))
+    assert set(found["place"].to_pylist()) == set(whole["place"].to_pylist())
+
+    wanted = found.select(["gram", "around", "place", "before", "after"]).slice(0, 20_000)
+    lists = pa.ListArray.from_arrays([0, 0, len(wanted)], wanted.to_struct_array().combine_chunks())
+    bodies = [zstandard.compress(b"none"), zstandard.compress(text.encode())]
+    sent = list(suffix_repeats._contexts(200)(iter([pa.RecordBatch.from_arrays([pa.array([2, 1]), pa.array(bodies), lists], ["key", "body", "wanted"])])))
+    assert max(b.num_rows for b in sent) <= suffix_repeats.CONTEXTS_AT_ONCE
+    rows = pa.Table.from_batches(sent)
+    assert rows["gram"].to_pylist() == wanted["gram"].to_pylist()
+    cut = [text[p - b : p + a].encode() for p, b, a in zip(*(wanted[c].to_pylist() for c in ("place", "before", "after")), strict=True)]
+    assert rows["bytes"].to_pylist() == cut
+
+
+@pytest.mark.parametrize(("piece", "few"), [(1 << 19, 15_000), (300, 3)])
+def test_repeats_do_not_depend_on_pieces(spark, monkeypatch, piece, few):
+    monkeypatch.setattr(suffix_repeats, "PIECE_BYTES", piece)
+    for name in ("CONTEXTS_AT_ONCE", "EXPANDED_AT_ONCE", "COMPARED_AT_ONCE"):
+        monkeypatch.setattr(suffix_repeats, name, few)
+    pick = random.Random(4)
+    base = "".join(pick.choice("abcdé ") for _ in range(2_000))
+    texts = [base, base[100:900] + "x" + base[600:1500], "y" * 700, base[290:510], base[1_000:] + base, "q" + base[301:500], None]
+    texts += ["".join(pick.choice("xyz") for _ in range(150)) + base[300:560] for _ in range(9)]
+    rows = [(i, (t or "").encode()) for i, t in enumerate(texts)]
+    starts = collections.Counter(t[i : i + 200] for _, t in rows for i in range(len(t) - 199))
+    want = []
+    for name, t in rows:
+        gone = bytearray(len(t))
+        for i in range(len(t) - 199):
+            if starts[t[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        stays = bytes(c for c, g in zip(t, gone, strict=True) if not g)
+        want.append((name, len(t), sum(gone), len([x for x in bytes(gone).split(b"\0") if x]), hashlib.sha256(stays).hexdigest()))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    batch_rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch_rows)
+    assert sorted(map(tuple, suffix_repeats.removal_report(docs, length=200).collect())) == want
+    assert spark.conf.get(batch_rows) == before
+
+
 def test_token_counts_are_the_library_s(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
