@@ -8,6 +8,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shopledger.session import shuffles_released
+
 
 @cache
 def _test_folder() -> str:
@@ -27,8 +29,9 @@ def shared_root(spark: SparkSession) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table of Parquet files: its work is done once, and a lost
-    executor costs only the tasks that read it."""
+    executor costs only the tasks that read it. Its shuffle files go when it is written."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_released(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

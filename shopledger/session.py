@@ -69,6 +69,23 @@ def sized_shuffles(spark: SparkSession, *inputs: DataFrame, most: int = MOST_PAR
         spark.conf.set(name, str(before))
 
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """While the block runs, the shuffle files of a statement go as soon as it ends, not
+    when the driver happens to collect its garbage: of a job of many statements, only those
+    that run hold disk. For statements that run once, as writes do; a DataFrame that is
+    collected again would make them anew. The setting is the session's."""
+    before = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, before)
+
+
 # Scanned bytes behind one task of a query that sorts whole rows more than once in a
 # stage: 4 MiB of the items' files are some 230,000 rows, of which each sort and hash
 # table holds about 200 bytes.
