@@ -45,6 +45,7 @@ from shopledger.schemas import (
     SOURCE_SCHEMAS,
     WAREHOUSE_SCHEMAS,
 )
+from shopledger.session import shuffles_released
 from shopledger.sources.parts import BUCKET, PartTable, Version, bucket_of
 
 PARALLEL_WRITES = 6
@@ -93,8 +94,9 @@ class Lake:
 
 def in_parallel(spark: SparkSession, job: Callable[[str], dict], names: Iterable[str]) -> list[dict]:
     """Run one independent Spark job per name from a few driver threads, so the
-    tail of one write overlaps the next. Results keep the order of the names."""
-    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+    tail of one write overlaps the next. Results keep the order of the names. What a
+    job shuffled is given up when it ends."""
+    with shuffles_released(spark), ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return list(pool.map(inheritable_thread_target(spark)(job), names))
 
 

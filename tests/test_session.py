@@ -6,6 +6,7 @@ from shopledger import session
 from shopledger.session import shared_folder
 from shopledger.sources.lake import written
 from tests.data import silver
+from tests.disk import left_behind, shuffle_files
 
 
 class _Named:
@@ -33,6 +34,13 @@ def test_written_tables_end_the_lineage(spark):
     assert all(folder.rsplit("/", 1)[1] in path for path in copy["order_items"].inputFiles())
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    held, tables = shuffle_files(spark), {n: df.distinct() for n, df in silver(spark).items()}
+    copy = written(spark, tables, shared_folder(spark))
+    assert not left_behind(spark, held)
+    assert all(copy[n].count() == tables[n].count() for n in tables)
+
+
 def test_a_cluster_must_name_the_shared_folder():
     class Cluster:
         conf = {"spark.master": "spark://host:7077"}
