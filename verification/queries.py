@@ -213,11 +213,10 @@ class Increment:
 
     def __init__(self, sample: Sample):
         self.sample = sample = sample.with_kept_payments()
-        spark = sample.spark
         before = {name: silver_table(name, self._earlier(name), salt=SALT) for name in SOURCES}
-        self.before = written(spark, before, shared_folder(spark))
+        self.before = sample.kept_in_turn(before)
         changed = {name: changes(name, self.before[name], sample.silver[name]) for name in SOURCES}
-        self.changed = written(spark, changed, shared_folder(spark))
+        self.changed = sample.kept_in_turn(changed)
         self.silver = {name: with_changes(name, self.before[name], self.changed[name]) for name in SOURCES}
 
     def _earlier(self, name: str) -> DataFrame:
