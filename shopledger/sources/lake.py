@@ -94,9 +94,8 @@ class Lake:
 
 def in_parallel(spark: SparkSession, job: Callable[[str], dict], names: Iterable[str]) -> list[dict]:
     """Run one independent Spark job per name from a few driver threads, so the
-    tail of one write overlaps the next. Results keep the order of the names. What a
-    job shuffled is given up when it ends."""
-    with shuffles_released(spark), ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+    tail of one write overlaps the next. Results keep the order of the names."""
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
         return list(pool.map(inheritable_thread_target(spark)(job), names))
 
 
@@ -227,8 +226,10 @@ def write_table(df: DataFrame, path: str, *measures: Column, compression: str |
 
 def written(spark: SparkSession, tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
     """The tables, written to a folder and read back: each is computed once,
-    however often the result is used, and its lineage ends at the files."""
-    in_parallel(spark, lambda name: write_table(tables[name], f"{folder}/{name}", compression="zstd"), list(tables))
+    however often the result is used, and its lineage ends at the files. What a write
+    shuffled is given up when it ends."""
+    with shuffles_released(spark):
+        in_parallel(spark, lambda name: write_table(tables[name], f"{folder}/{name}", compression="zstd"), list(tables))
     return {
         name: spark.read.schema(df.schema).parquet(f"{folder}/{name}")
         for name, df in tables.items()
